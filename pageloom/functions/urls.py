@@ -178,30 +178,29 @@ def resolve(base: Column, link: Column) -> Column:
         foreign = (scheme != "") & (
             (scheme != base["scheme"]) | ~scheme.isin(*RELATIVE_SCHEMES)
         )
-        in_folder = F.regexp_replace(F.concat(base["folder"], path), "/{2,}", "/")
+        inside = ~foreign & (netloc == "")
+        joined = F.when(path.startswith("/"), path).otherwise(
+            F.regexp_replace(F.concat(base["folder"], path), "/{2,}", "/")
+        )
+        target = F.struct(
+            F.when(foreign, scheme).otherwise(base["scheme"]).alias("scheme"),
+            F.when(inside, base["netloc"]).otherwise(netloc).alias("netloc"),
+            F.when(~inside, path)
+            .when(path == "", base["path"])
+            .otherwise(let(joined, _without_dots))
+            .alias("path"),
+            F.when(inside & (path == "") & (query == ""), base["query"])
+            .otherwise(query)
+            .alias("query"),
+        )
         return (
             F.when(base["self"].isNull() | _bad_netloc(netloc), F.lit(None).cast("string"))
             .when(raw == "", base["self"])
             .when(foreign & ~raw.contains("#"), raw)
-            .when(foreign, _assemble(scheme, netloc, path, query))
-            .when(netloc != "", _assemble(base["scheme"], netloc, path, query))
-            .when(
-                path == "",
-                _assemble(
-                    base["scheme"],
-                    base["netloc"],
-                    base["path"],
-                    F.when(query != "", query).otherwise(base["query"]),
-                ),
-            )
-            .when(
-                path.startswith("/"),
-                _assemble(base["scheme"], base["netloc"], _without_dots(path), query),
-            )
             .otherwise(
                 let(
-                    _without_dots(in_folder),
-                    lambda full: _assemble(base["scheme"], base["netloc"], full, query),
+                    target,
+                    lambda t: _assemble(t["scheme"], t["netloc"], t["path"], t["query"]),
                 )
             )
         )

@@ -2,115 +2,118 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import html, text, urls
 from ..schema import RECORD_FIELDS, default_value, PAGE_RECORD
 
 
-def _narrow(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
-    return df.select(*keep, *(c.alias(n) for n, c in columns.items()))
-
+_RAW = ("url", "status_code", "content_type", "body", "fetched_at", "error", "depth")
+_CARRIED = ("url", "status_code", "fetched_at", "error", "depth")
 
-def parse_pages(fetches: DataFrame, depth: int | Column | None = None) -> DataFrame:
-    """Page records of classified fetches ``(url, status_code, body, fetched_at, error)``.
 
-    Rows with an error keep the empty defaults. A page that holds a link with a
-    malformed host becomes a failed record. Columns other than the fetch columns
-    (``seq`` and the like) pass through, so the operator also runs on a stream.
+@lru_cache(maxsize=4)
+def _parse_steps(application: str) -> tuple[dict[str, Column], ...]:
+    """The projections of ``parse_pages``, built once per application.
 
-    Each step's result is referenced several times by the next one, which keeps
-    Catalyst from merging the projections and evaluating the markup twice; unused
-    branches are pruned when the caller selects a few fields.
+    They name columns only, so they fit every input; building a few thousand
+    expression nodes takes longer than planning them.
     """
-    if depth is None:
-        depth = F.col("depth") if "depth" in fetches.columns else F.lit(0)
-    elif isinstance(depth, int):
-        depth = F.lit(depth)
-    own = ("url", "status_code", "content_type", "body", "fetched_at", "error", "depth")
-    passed = [c for c in fetches.columns if c not in own]
-    fixed = [*passed, "url", "status_code", "fetched_at", "error", "depth"]
-
-    marked = fetches.select(
-        *passed,
-        "url",
-        F.col("status_code").cast("int").alias("status_code"),
-        F.coalesce("fetched_at", F.lit("")).alias("fetched_at"),
-        "error",
-        depth.cast("int").alias("depth"),
-        html.mark_tags(F.when(F.col("error").isNull(), F.col("body"))).alias("_marked"),
-        urls.base_parts(F.col("url")).alias("_base"),
-    )
     m, base = F.col("_marked"), F.col("_base")
-    opened = _narrow(
-        marked,
-        fixed,
-        _title=html.page_title(m),
-        _metas=html.meta_elements(m),
-        _blocks=html.block_text(m),
-        _hrefs=F.transform(html.href_values(m), lambda h: urls.resolve(base, h)),
-        _srcs=F.transform(html.src_values(m), lambda s: urls.resolve(base, s)),
-        _domain=F.lower(base["netloc"]),
-        _base=base,
-    )
+    marked = {
+        "_marked": html.mark_tags(F.when(F.col("error").isNull(), F.col("body"))),
+        "_base": urls.base_parts(F.col("url")),
+    }
+    opened = {
+        "_title": html.page_title(m),
+        "_metas": html.meta_elements(m),
+        "_blocks": html.block_text(m),
+        "_hrefs": F.transform(html.href_values(m), lambda h: urls.resolve(base, h)),
+        "_srcs": F.transform(html.src_values(m), lambda s: urls.resolve(base, s)),
+        "_domain": F.lower(base["netloc"]),
+        "_base": base,
+    }
     hrefs, srcs = F.col("_hrefs"), F.col("_srcs")
     malformed = (
         F.col("_base.self").isNull()
         | F.exists(hrefs, lambda u: u.isNull())
         | F.exists(srcs, lambda u: u.isNull())
     )
-    links = F.array_distinct(F.filter(hrefs, urls.is_crawlable_scheme))
-    extracted = _narrow(
-        opened,
-        fixed,
-        _title=F.col("_title"),
-        _metas=F.col("_metas"),
-        _heads=html.heading_elements(F.col("_blocks")),
-        _paras=html.paragraphs(F.col("_blocks")),
-        _links=F.transform(
-            links,
+    crawlable = F.array_distinct(F.filter(hrefs, urls.is_crawlable_scheme))
+    extracted = {
+        "_title": F.col("_title"),
+        "_metas": F.col("_metas"),
+        "_heads": html.heading_elements(F.col("_blocks")),
+        "_paras": html.paragraphs(F.col("_blocks")),
+        "_links": F.transform(
+            crawlable,
             lambda u: F.struct(
                 u.alias("url"), (urls.get_domain(u) == F.col("_domain")).alias("internal")
             ),
         ),
-        _images=F.array_distinct(srcs),
-        _malformed=F.col("error").isNull() & F.coalesce(malformed, F.lit(False)),
-    )
+        "_images": F.array_distinct(srcs),
+        "_failed": F.col("error").isNull() & F.coalesce(malformed, F.lit(False)),
+    }
     link = F.col("_links")
-    shaped = _narrow(
-        extracted,
-        fixed,
-        _malformed=F.col("_malformed"),
-        title=F.col("_title"),
-        meta_description=html.meta_content(F.col("_metas"), "description"),
-        meta_keywords=html.meta_content(F.col("_metas"), "keywords"),
-        headings=html.headings(F.col("_heads")),
-        paragraphs=F.col("_paras"),
-        links=link["url"],
-        internal_links=F.filter(link, lambda l: l["internal"])["url"],
-        external_links=F.filter(link, lambda l: ~l["internal"])["url"],
-        images=F.col("_images"),
+    shaped = {
+        "_failed": F.col("_failed"),
+        "title": F.col("_title"),
+        "meta_description": html.meta_content(F.col("_metas"), "description"),
+        "meta_keywords": html.meta_content(F.col("_metas"), "keywords"),
+        "headings": html.headings(F.col("_heads")),
+        "paragraphs": F.col("_paras"),
+        "links": link["url"],
+        "internal_links": F.filter(link, lambda x: x["internal"])["url"],
+        "external_links": F.filter(link, lambda x: ~x["internal"])["url"],
+        "images": F.col("_images"),
+    }
+    failed = F.col("_failed")
+    words = text.count_words(
+        text.full_text(F.col("title"), F.col("headings"), F.col("paragraphs"))
     )
-    failed = F.col("_malformed")
-
-    def final(name: str) -> Column:
-        if name == "error":
-            return F.when(failed, urls.INVALID_NETLOC).otherwise(F.col("error"))
-        if name in ("url", "fetched_at", "depth"):
-            return F.col(name)
-        if name == "status_code":
-            return F.when(~failed, F.col(name))
-        value = (
-            text.count_words(
-                text.full_text(F.col("title"), F.col("headings"), F.col("paragraphs"))
-            ).cast("int")
-            if name == "word_count"
-            else F.col(name)
+    values = {name: F.col(name) for name in RECORD_FIELDS if name != "word_count"}
+    values["word_count"] = words.cast("int")
+    final = {
+        name: F.coalesce(
+            F.when(F.col("error").isNull() & ~failed, value),
+            default_value(PAGE_RECORD[name]),
         )
-        ready = F.col("error").isNull() & ~failed
-        return F.coalesce(F.when(ready, value), default_value(PAGE_RECORD[name]))
+        for name, value in values.items()
+    }
+    final["error"] = F.when(failed, urls.INVALID_NETLOC).otherwise(F.col("error"))
+    final["status_code"] = F.when(~failed, F.col("status_code"))
+    final |= {name: F.col(name) for name in ("url", "fetched_at", "depth")}
+    return marked, opened, extracted, shaped, {n: final[n] for n in RECORD_FIELDS}
 
-    return shaped.select(*passed, *(final(n).alias(n) for n in RECORD_FIELDS))
+
+def parse_pages(fetches: DataFrame, depth: int = 0) -> DataFrame:
+    """Page records of classified fetches ``(url, status_code, body, fetched_at, error)``.
+
+    Rows with an error keep the empty defaults. A page that holds a link with a
+    malformed host becomes a failed record. A ``depth`` column wins over the argument;
+    other columns (``seq`` and the like) pass through. Also runs on a stream.
+
+    Each step's results are referenced several times by the next one, which keeps
+    Catalyst from merging the projections and evaluating the markup twice; unused
+    branches are pruned when the caller selects a few fields.
+    """
+    passed = [c for c in fetches.columns if c not in _RAW]
+    level = F.col("depth") if "depth" in fetches.columns else F.lit(depth)
+    df = fetches.select(
+        *passed,
+        "url",
+        F.col("status_code").cast("int").alias("status_code"),
+        "body",
+        F.coalesce("fetched_at", F.lit("")).alias("fetched_at"),
+        "error",
+        level.cast("int").alias("depth"),
+    )
+    *steps, final = _parse_steps(fetches.sparkSession.sparkContext.applicationId)
+    for step in steps:
+        df = df.select(*passed, *_CARRIED, *(c.alias(n) for n, c in step.items()))
+    return df.select(*passed, *(c.alias(n) for n, c in final.items()))
 
 
 def record_text(records: DataFrame) -> Column:
