@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..schema import FETCH
+from ..schema import FETCH, with_defaults
 
 
 def read_fetches(spark: SparkSession, path: str) -> DataFrame:
@@ -12,6 +12,17 @@ def read_fetches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FETCH).parquet(path)
 
 
+def spread_small(df: DataFrame, *keys: str) -> DataFrame:
+    """Give every core work when the input has fewer splits than the session has cores.
+
+    One exchange of a small input; anything with enough splits passes through untouched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(2 * cores, *keys)
+
+
 def fetches_from_pages(pages: DataFrame) -> DataFrame:
     """``(page_id, url, html)`` captures as successful HTML fetches; ``seq`` = id."""
     return pages.select(
@@ -27,8 +38,6 @@ def fetches_from_pages(pages: DataFrame) -> DataFrame:
 
 def records_from_documents(documents: DataFrame) -> DataFrame:
     """Plain ``(doc_id, text)`` documents as one-paragraph records."""
-    from ..schema import with_defaults
-
     return with_defaults(
         documents.select(
             F.col("doc_id").alias("seq"),
