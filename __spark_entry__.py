@@ -137,8 +137,8 @@ def _responses(spark: SparkSession, folder: str) -> DataFrame:
 def _tree(spark: SparkSession, folder: str) -> DataFrame:
     """The pages as one site: page i links to its parent and to 8i+1 … 8i+8.
 
-    Whole page texts, their own anchors disabled; pages cut off before their end answer
-    with status 500. Children beyond the last page were never captured.
+    Whole page texts, their own anchors disabled; pages cut off before their end (but the
+    first) answer with status 500. Children beyond the last page were never captured.
     """
     number = F.col("page_id")
 
@@ -147,7 +147,7 @@ def _tree(spark: SparkSession, folder: str) -> DataFrame:
 
     links = [anchor(F.greatest(F.floor((number - 1) / 8), F.lit(0)))]
     links += [anchor(8 * number + i) for i in range(1, 9)]
-    cut = ~F.col("html").endswith("</html>")
+    cut = ~F.col("html").endswith("</html>") & (number > 0)
     return _pages(spark, folder).select(
         F.concat(F.lit("https://tree.example/p/"), number).alias("url"),
         F.when(cut, 500).otherwise(200).alias("status_code"),

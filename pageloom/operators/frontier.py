@@ -8,6 +8,7 @@ from ..functions.urls import domain_suffixes, get_domain, is_crawlable_scheme
 from .robots import robots_allowed
 
 _LINKS_PER_PAGE = 2**31  # an array cannot hold more
+LITERAL_ROOTS = 1_000
 
 
 def link_key(parent_seq: Column, link_pos: Column) -> Column:
@@ -46,17 +47,32 @@ def not_visited(candidates: DataFrame, visited: DataFrame) -> DataFrame:
     return candidates.join(visited.select("url"), "url", "left_anti")
 
 
-def allowed_domains(urls: DataFrame, roots: DataFrame) -> DataFrame:
-    """Domains of ``urls`` that equal a row of ``roots(root)`` or lie below one.
+def _domain_test(urls: DataFrame, roots: DataFrame) -> DataFrame:
+    """Adds ``_inside``: whether a URL's host equals a root or lies below one.
 
-    The suffix test becomes an equality join on every suffix of the few distinct
-    domains.
+    A counted handful of roots becomes a literal, tested in place. Beyond that the
+    suffix test becomes an equality join: the distinct hosts, exploded to all their
+    suffixes, are looked up among the roots and joined back.
     """
-    domains = urls.select(get_domain(F.col("url")).alias("domain")).distinct()
-    suffixes = domains.select("domain", F.explode(domain_suffixes(F.col("domain"))).alias("root"))
-    return suffixes.join(roots.select(F.lower("root").alias("root")), "root", "left_semi").select(
-        "domain"
-    ).distinct()
+    known = [r["root"] for r in roots.select(F.lower("root").alias("root")).distinct()
+             .limit(LITERAL_ROOTS + 1).collect()]
+    tested = urls.withColumn("_domain", get_domain(F.col("url")))
+    if len(known) <= LITERAL_ROOTS:
+        inside = F.arrays_overlap(
+            domain_suffixes(F.col("_domain")), F.lit(known).cast("array<string>")
+        )
+        return tested.withColumn("_inside", inside).drop("_domain")
+    domains = tested.select("_domain").distinct()
+    suffixes = domains.select(
+        "_domain", F.explode(domain_suffixes(F.col("_domain"))).alias("root")
+    )
+    named = roots.select(F.lower("root").alias("root"))
+    inside = suffixes.join(named, "root", "left_semi").select("_domain").distinct()
+    return (
+        tested.join(inside.withColumn("_hit", F.lit(True)), "_domain", "left")
+        .withColumn("_inside", F.col("_hit").isNotNull())
+        .drop("_domain", "_hit")
+    )
 
 
 def eligible(
@@ -71,18 +87,15 @@ def eligible(
     Tests in this order: ``scheme``, ``visited`` (a duplicate), ``domain``, ``robots``.
     """
     seen = visited.select("url").distinct().withColumn("_seen", F.lit(True))
-    inside = allowed_domains(edges, roots).withColumn("_inside", F.lit(True))
-    judged = robots_allowed(edges, policy, respect_robots)
+    judged = robots_allowed(_domain_test(edges, roots), policy, respect_robots)
     return (
         judged.join(seen, "url", "left")
-        .withColumn("domain", get_domain(F.col("url")))
-        .join(inside, "domain", "left")
         .withColumn(
             "reject_reason",
             F.when(~is_crawlable_scheme(F.col("url")), "scheme")
             .when(F.col("_seen"), "visited")
-            .when(F.col("_inside").isNull(), "domain")
+            .when(~F.col("_inside"), "domain")
             .when(~F.col("allowed"), "robots"),
         )
-        .drop("_seen", "_inside", "domain", "allowed")
+        .drop("_seen", "_inside", "allowed")
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -98,6 +99,11 @@ def parse_pages(fetches: DataFrame, depth: int = 0) -> DataFrame:
     Each step's results are referenced several times by the next one, which keeps
     Catalyst from merging the projections and evaluating the markup twice; unused
     branches are pruned when the caller selects a few fields.
+
+    The result counts its rows under a metric of its own (``parse_pages-…``). That also
+    fences the parse: Catalyst does not move a caller's filter, or the one it infers for
+    ``explode``, below the metric, where each would repeat the parse to test one field.
+    Filters on the input columns belong on ``fetches``.
     """
     passed = [c for c in fetches.columns if c not in _RAW]
     level = F.col("depth") if "depth" in fetches.columns else F.lit(depth)
@@ -113,7 +119,8 @@ def parse_pages(fetches: DataFrame, depth: int = 0) -> DataFrame:
     *steps, final = _parse_steps(fetches.sparkSession.sparkContext.applicationId)
     for step in steps:
         df = df.select(*passed, *_CARRIED, *(c.alias(n) for n, c in step.items()))
-    return df.select(*passed, *(c.alias(n) for n, c in final.items()))
+    records = df.select(*passed, *(c.alias(n) for n, c in final.items()))
+    return records.observe(f"parse_pages-{uuid.uuid4().hex}", F.count("*").alias("rows"))
 
 
 def record_text(records: DataFrame) -> Column:

@@ -26,20 +26,21 @@ def keyword_search(records: DataFrame, keyword: str, limit: int = 10) -> DataFra
     _check_limit(limit)
     keyword = keyword.lower()
     texts = records.select("seq", "url", "title", record_text(records).alias("_text"))
-    scored = texts.select(
-        "seq",
-        "url",
-        "title",
-        "_text",
-        text.whole_word_count(F.lower("_text"), keyword).alias("score"),
-    ).filter("score > 0")
-    hits = scored.select(
-        "seq",
-        "url",
-        "title",
-        "score",
-        text.snippet(F.col("_text"), F.lit(keyword)).alias("snippet"),
+    score = text.whole_word_count(F.lower("_text"), keyword)
+    # Rows without a hit vanish inside the expression: as a filter on the score, Spark
+    # would count twice, once to test and once to project.
+    scored = F.filter(
+        F.array(F.struct(score.alias("score"), F.col("_text").alias("text"))),
+        lambda hit: hit["score"] > 0,
+    )
+    shown = F.transform(
+        scored,
+        lambda hit: F.struct(
+            hit["score"].alias("score"),
+            text.snippet(hit["text"], F.lit(keyword)).alias("snippet"),
+        ),
     )
+    hits = texts.select("seq", "url", "title", F.inline(shown))
     ranked = hits.orderBy(F.desc("score"), "seq").limit(limit)
     return ranked.select("url", "title", "score", "snippet")
 

@@ -17,7 +17,7 @@ from ..operators.fetchlog import NOT_CAPTURED_ERROR, classify_fetch
 from ..operators.frontier import dedupe_frontier, link_edges, link_key, not_visited
 from ..operators.pages import parse_pages
 from ..operators.robots import robots_allowed, robots_policy
-from ..schema import RECORD_FIELDS
+from ..schema import RECORD_FIELDS, with_defaults
 from .stages import materialize, with_row_index
 
 # --- Fixed values ---------------------------------------------------------------
@@ -60,32 +60,27 @@ def _seed_entries(seeds: DataFrame) -> DataFrame:
 
 
 def _fetch_and_parse(
-    batch: DataFrame, fetches: DataFrame, depth: Column, strict_status: bool
+    batch: DataFrame, size: int, fetches: DataFrame, strict_status: bool
 ) -> DataFrame:
-    """Records of ``batch(url, seq, key, …)``: join, classify, parse, write.
+    """Records of ``batch(url, key, seq, depth)``, ``size`` rows; misses become failures.
 
-    No hint on the join: ``batch`` comes from files, so Spark knows its size. While it
-    is small it is broadcast and the responses are filtered in their scan; responses
-    bucketed by URL join without moving.
+    An inner join finds the responses: ``batch`` comes from files, so Spark knows its
+    size, broadcasts it while it is small and filters the responses where they are
+    scanned. Above that, responses stored in buckets by URL (``save_fetches``) stay where
+    they are. URLs without a response are what the found ones leave over; an outer join
+    would have to move every response instead.
     """
-    captured = fetches.select("url", *_FETCH_FIELDS, F.lit(True).alias("_captured"))
-    joined = batch.join(captured, "url", "left").withColumns(
-        {
-            "error": F.when(F.col("_captured").isNull(), NOT_CAPTURED_ERROR).otherwise(
-                F.col("error")
-            ),
-            "depth": depth,
-        }
+    found = batch.join(fetches.select("url", *_FETCH_FIELDS), "url")
+    parsed = materialize(parse_pages(classify_fetch(found, strict_status)), "found")
+    missed = batch.join(parsed.select("url"), "url", "left_anti").withColumn(
+        "error", F.lit(NOT_CAPTURED_ERROR)
     )
-    records = parse_pages(classify_fetch(joined.drop("_captured"), strict_status))
-    return materialize(records, "level")
-
-
-def _check_one_response(records: DataFrame, expected: int) -> None:
-    if records.count() != expected:
+    failed = materialize(with_defaults(missed, "key", "seq"), "missed")
+    if parsed.count() + failed.count() != size:
         raise ValueError(
             "several responses for one URL; reduce them with collapse_attempts first"
         )
+    return parsed.unionByName(failed)
 
 
 def _links(records: DataFrame, max_depth: int) -> DataFrame:
@@ -164,10 +159,12 @@ def _crawl_fifo(
             if size - start > open_pages:
                 stop = min(size, start + 2 * open_pages + _SPARE_ROWS)
             batch = frontier.filter(F.col("place").between(start, stop - 1)).select(
-                "url", "key", (F.col("place") + visited).alias("seq")
+                "url",
+                "key",
+                (F.col("place") + visited).alias("seq"),
+                F.lit(depth).alias("depth"),
             )
-            records = _fetch_and_parse(batch, fetches, F.lit(depth), strict)
-            _check_one_response(records, stop - start)
+            records = _fetch_and_parse(batch, stop - start, fetches, strict)
             records, open_pages = _cut_at_budget(records, open_pages)
             level.append(records)
             start = stop
@@ -319,12 +316,11 @@ def _crawl_level(
         )
         numbered = numbered.select(
             "url",
-            "depth",
             F.col("place").cast("decimal(38,0)").alias("key"),
             (F.col("idx") + visited).alias("seq"),
+            "depth",
         )
-        records = _fetch_and_parse(numbered, fetches, F.col("depth"), strict)
-        _check_one_response(records, fresh)
+        records = _fetch_and_parse(numbered, fresh, fetches, strict)
         done.append(records)
         visited += fresh
         open_pages -= records.filter(F.col("error").isNull()).count()

@@ -12,6 +12,20 @@ def read_fetches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FETCH).parquet(path)
 
 
+def save_fetches(fetches: DataFrame, table: str, buckets: int) -> DataFrame:
+    """Store a large fetch log in buckets by URL, sorted, and return the table.
+
+    A traversal joins every level with it; in this layout only the level's URLs move.
+    """
+    (
+        fetches.write.mode("overwrite")
+        .bucketBy(buckets, "url")
+        .sortBy("url")
+        .saveAsTable(table)
+    )
+    return fetches.sparkSession.table(table)
+
+
 def spread_small(df: DataFrame, *keys: str) -> DataFrame:
     """Give every core work when the input has fewer splits than the session has cores.
 
