@@ -6,6 +6,7 @@ from http import HTTPStatus
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.reuse import per_application
 from ..functions.urls import get_domain
 
 # --- Fixed values ---------------------------------------------------------------
@@ -82,12 +83,8 @@ def collapse_attempts(
     return chosen.withColumn("planned_wait", waits)
 
 
-def classify_fetch(fetches: DataFrame, strict_status: bool = True) -> DataFrame:
-    """Decide for each response whether it is a page or a failed record.
-
-    Transport error, then (strict mode) HTTP failure — both without status —, then a
-    content type that is not HTML, which keeps its status.
-    """
+@per_application
+def _classification(strict_status: bool) -> dict[str, Column]:
     content_type = F.coalesce("content_type", F.lit(""))
     transport = F.col("error").isNotNull()
     http = _http_failure() if strict_status else F.lit(False)
@@ -100,8 +97,17 @@ def classify_fetch(fetches: DataFrame, strict_status: bool = True) -> DataFrame:
         )
     )
     status = F.when(~transport & ~http, F.col("status_code"))
-    # Both read the incoming error and status, so they are set in one projection.
-    return fetches.withColumns({"status_code": status, "error": error})
+    return {"status_code": status, "error": error}
+
+
+def classify_fetch(fetches: DataFrame, strict_status: bool = True) -> DataFrame:
+    """Decide for each response whether it is a page or a failed record.
+
+    Transport error, then (strict mode) HTTP failure — both without status —, then a
+    content type that is not HTML, which keeps its status.
+    """
+    # Both columns read the incoming error and status, so they are set in one projection.
+    return fetches.withColumns(_classification(strict_status))
 
 
 def effective_delay(

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import html, text, urls
+from ..functions.reuse import per_application
 from ..schema import RECORD_FIELDS, default_value, PAGE_RECORD
 
 
@@ -15,13 +15,9 @@ _RAW = ("url", "status_code", "content_type", "body", "fetched_at", "error", "de
 _CARRIED = ("url", "status_code", "fetched_at", "error", "depth")
 
 
-@lru_cache(maxsize=4)
-def _parse_steps(application: str) -> tuple[dict[str, Column], ...]:
-    """The projections of ``parse_pages``, built once per application.
-
-    They name columns only, so they fit every input; building a few thousand
-    expression nodes takes longer than planning them.
-    """
+@per_application
+def _parse_steps() -> tuple[dict[str, Column], ...]:
+    """The projections of ``parse_pages``; they name columns only and fit every input."""
     m, base = F.col("_marked"), F.col("_base")
     marked = {
         "_marked": html.mark_tags(F.when(F.col("error").isNull(), F.col("body"))),
@@ -116,7 +112,7 @@ def parse_pages(fetches: DataFrame, depth: int = 0) -> DataFrame:
         "error",
         level.cast("int").alias("depth"),
     )
-    *steps, final = _parse_steps(fetches.sparkSession.sparkContext.applicationId)
+    *steps, final = _parse_steps()
     for step in steps:
         df = df.select(*passed, *_CARRIED, *(c.alias(n) for n, c in step.items()))
     records = df.select(*passed, *(c.alias(n) for n, c in final.items()))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.reuse import per_application
 from ..functions.text import let, strip
 from ..functions.urls import get_domain
 
@@ -157,6 +158,21 @@ def _target(url: Column) -> Column:
     )
 
 
+@per_application
+def _verdict_columns() -> tuple[dict[str, Column], Column]:
+    hit = F.try_element_at(
+        F.filter("_rules", lambda r: F.col("_target").startswith(r["path_prefix"])),
+        F.lit(1),
+    )["allow"]
+    allowed = (
+        F.when(F.col("_verdict") == "deny", False)
+        .when(F.col("_verdict") == "rules", F.coalesce(hit, F.lit(True)))
+        .otherwise(True)
+    )
+    url = F.col("url")
+    return {"_domain": get_domain(url), "_target": _target(url)}, allowed
+
+
 def robots_allowed(
     urls: DataFrame, policy: DataFrame | None, enabled: bool = True
 ) -> DataFrame:
@@ -173,20 +189,10 @@ def robots_allowed(
         F.col("verdict").alias("_verdict"),
         F.col("rules").alias("_rules"),
     )
-    prepared = urls.withColumns(
-        {"_domain": get_domain(F.col("url")), "_target": _target(F.col("url"))}
-    )
-    hit = F.try_element_at(
-        F.filter("_rules", lambda r: F.col("_target").startswith(r["path_prefix"])),
-        F.lit(1),
-    )["allow"]
-    allowed = (
-        F.when(F.col("_verdict") == "deny", False)
-        .when(F.col("_verdict") == "rules", F.coalesce(hit, F.lit(True)))
-        .otherwise(True)
-    )
+    prepared, allowed = _verdict_columns()
     return (
-        prepared.join(hosts, F.col("_domain") == F.col("_host"), "left")
+        urls.withColumns(prepared)
+        .join(hosts, F.col("_domain") == F.col("_host"), "left")
         .withColumn("allowed", allowed)
         .drop("_domain", "_target", "_host", "_verdict", "_rules")
     )

@@ -61,8 +61,10 @@ def _seed_entries(seeds: DataFrame) -> DataFrame:
 
 def _fetch_and_parse(
     batch: DataFrame, size: int, fetches: DataFrame, strict_status: bool
-) -> DataFrame:
-    """Records of ``batch(url, key, seq, depth)``, ``size`` rows; misses become failures.
+) -> tuple[DataFrame, int]:
+    """Records of ``batch(url, key, seq, depth)`` and how many of them are successes.
+
+    The ``size`` rows of the batch become as many records; misses become failures.
 
     An inner join finds the responses: ``batch`` comes from files, so Spark knows its
     size, broadcasts it while it is small and filters the responses where they are
@@ -71,16 +73,23 @@ def _fetch_and_parse(
     would have to move every response instead.
     """
     found = batch.join(fetches.select("url", *_FETCH_FIELDS), "url")
-    parsed = materialize(parse_pages(classify_fetch(found, strict_status)), "found")
-    missed = batch.join(parsed.select("url"), "url", "left_anti").withColumn(
-        "error", F.lit(NOT_CAPTURED_ERROR)
-    )
-    failed = materialize(with_defaults(missed, "key", "seq"), "missed")
-    if parsed.count() + failed.count() != size:
+    records = materialize(parse_pages(classify_fetch(found, strict_status)), "found")
+    counts = records.agg(
+        F.count("*").alias("n"), F.count_if(F.col("error").isNull()).alias("ok")
+    ).first()
+    n = counts["n"]
+    if n < size:
+        missed = batch.join(records.select("url"), "url", "left_anti").withColumn(
+            "error", F.lit(NOT_CAPTURED_ERROR)
+        )
+        failed = materialize(with_defaults(missed, "key", "seq"), "missed")
+        n += failed.count()
+        records = records.unionByName(failed)
+    if n != size:
         raise ValueError(
             "several responses for one URL; reduce them with collapse_attempts first"
         )
-    return parsed.unionByName(failed)
+    return records, counts["ok"]
 
 
 def _links(records: DataFrame, max_depth: int) -> DataFrame:
@@ -164,8 +173,10 @@ def _crawl_fifo(
                 (F.col("place") + visited).alias("seq"),
                 F.lit(depth).alias("depth"),
             )
-            records = _fetch_and_parse(batch, stop - start, fetches, strict)
-            records, open_pages = _cut_at_budget(records, open_pages)
+            records, successes = _fetch_and_parse(batch, stop - start, fetches, strict)
+            if successes >= open_pages:
+                records = _cut_at_budget(records, open_pages)
+            open_pages = max(0, open_pages - successes)
             level.append(records)
             start = stop
         visited += size
@@ -193,15 +204,12 @@ def _no_records(fetches: DataFrame) -> DataFrame:
     return parse_pages(none)
 
 
-def _cut_at_budget(records: DataFrame, open_pages: int) -> tuple[DataFrame, int]:
+def _cut_at_budget(records: DataFrame, open_pages: int) -> DataFrame:
     """Keep everything up to the success that fills the budget."""
     succeeded = records.filter(F.col("error").isNull()).select("seq")
-    successes = succeeded.count()
-    if successes < open_pages:
-        return records, open_pages - successes
     ranked, _ = with_row_index(succeeded, "seq")
     last = ranked.filter(F.col("idx") == open_pages - 1).first()["seq"]
-    return records.filter(F.col("seq") <= last), 0
+    return records.filter(F.col("seq") <= last)
 
 
 def _fifo_stats(
@@ -283,25 +291,43 @@ def _crawl_level(
     ends the run, whatever is left.
     """
     queue = _seed_entries(seeds).select(
-        "url", "key", F.lit(0).alias("depth"), F.lit(0).alias("round")
+        "url",
+        "key",
+        F.lit(0).alias("depth"),
+        F.lit(0).alias("round"),
+        F.lit(None).cast("string").alias("reason"),
     )
     done: list[DataFrame] = []
     visited, open_pages, turn = 0, max_pages, 0
     duplicates = blocked = 0
-    while open_pages > 0:
-        queue, size = with_row_index(queue, F.desc("round"), "key", name="place")
-        if size == 0:
+    while True:
+        # Rejected links are written along, behind the queue, to be counted once.
+        queue, size = with_row_index(
+            queue, F.col("reason").isNotNull(), F.desc("round"), "key", name="place"
+        )
+        rejected = queue.agg(
+            F.count_if(F.col("reason") == "visited").alias("visited"),
+            F.count_if(F.col("reason") == "robots").alias("robots"),
+        ).first()
+        duplicates += rejected["visited"]
+        blocked += rejected["robots"]
+        size -= rejected["visited"] + rejected["robots"]
+        if size == 0 or open_pages <= 0:
             break
-        batch = queue.filter(F.col("place") < open_pages)
-        rest = queue.filter(F.col("place") >= open_pages).drop("place")
         taken = min(size, open_pages)
+        batch = queue.filter(F.col("place") < taken)
+        rest = queue.filter(F.col("place").between(taken, size - 1)).drop("place")
 
-        first = batch.groupBy("url").agg(F.min_by("depth", "place").alias("depth"),
-                                         F.min("place").alias("place"),
-                                         F.count("*").alias("n"))
+        first = batch.groupBy("url").agg(
+            F.min_by("depth", "place").alias("depth"),
+            F.min("place").alias("place"),
+            F.count("*").alias("n"),
+        )
         if done:
             first = not_visited(first, _union(done))
-        judged = materialize(robots_allowed(first, policy), "batch")
+        judged, _ = with_row_index(
+            robots_allowed(first, policy), F.desc("allowed"), "place"
+        )
         counts = judged.agg(
             F.count_if("allowed").alias("fresh"),
             F.coalesce(F.sum(F.when(~F.col("allowed"), F.col("n"))), F.lit(0)).alias("denied"),
@@ -311,39 +337,24 @@ def _crawl_level(
         duplicates += taken - fresh - denied
         if fresh == 0:
             break
-        numbered, _ = with_row_index(
-            judged.filter("allowed").select("url", "depth", "place"), "place"
-        )
-        numbered = numbered.select(
+        numbered = judged.filter("allowed").select(
             "url",
             F.col("place").cast("decimal(38,0)").alias("key"),
             (F.col("idx") + visited).alias("seq"),
             "depth",
         )
-        records = _fetch_and_parse(numbered, fresh, fetches, strict)
+        records, successes = _fetch_and_parse(numbered, fresh, fetches, strict)
         done.append(records)
         visited += fresh
-        open_pages -= records.filter(F.col("error").isNull()).count()
+        open_pages -= successes
         turn += 1
 
         seen = _union(done).select("url", F.lit(True).alias("_seen"))
         links = _links(records, max_depth).join(seen, "url", "left")
-        opened = materialize(
-            robots_allowed(links.drop("src_seq"), policy).withColumn(
-                "reason",
-                F.when(F.col("_seen"), "visited").when(~F.col("allowed"), "robots"),
-            ),
-            "links",
-        )
-        rejected = opened.agg(
-            F.count_if(F.col("reason") == "visited").alias("visited"),
-            F.count_if(F.col("reason") == "robots").alias("robots"),
-        ).first()
-        duplicates += rejected["visited"]
-        blocked += rejected["robots"]
+        reason = F.when(F.col("_seen"), "visited").when(~F.col("allowed"), "robots")
         queue = (
-            opened.filter(F.col("reason").isNull())
-            .select("url", "key", "depth", F.lit(turn).alias("round"))
+            robots_allowed(links.drop("src_seq"), policy)
+            .select("url", "key", "depth", F.lit(turn).alias("round"), reason.alias("reason"))
             .unionByName(rest)
         )
     records = _union(done) if done else _no_records(fetches)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from .functions.reuse import per_application
+
 _texts = T.ArrayType(T.StringType())
 
 PAGE_RECORD = T.StructType(
@@ -53,15 +55,21 @@ def default_value(field: T.StructField) -> Column:
     return F.lit("" if isinstance(kind, T.StringType) else 0).cast(kind)
 
 
-def with_defaults(df: DataFrame, *extra: str) -> DataFrame:
-    """Exactly the record fields (plus ``extra`` columns), absent values defaulted."""
+@per_application
+def _record_columns(present: frozenset[str]) -> tuple[Column, ...]:
     columns = []
     for field in PAGE_RECORD:
-        if field.name not in df.columns:
+        if field.name not in present:
             value = default_value(field)
         elif field.name in NULLABLE_FIELDS:
             value = F.col(field.name).cast(field.dataType)
         else:
             value = F.coalesce(F.col(field.name).cast(field.dataType), default_value(field))
         columns.append(value.alias(field.name))
-    return df.select(*extra, *columns)
+    return tuple(columns)
+
+
+def with_defaults(df: DataFrame, *extra: str) -> DataFrame:
+    """Exactly the record fields (plus ``extra`` columns), absent values defaulted."""
+    present = frozenset(df.columns) & frozenset(RECORD_FIELDS)
+    return df.select(*extra, *_record_columns(present))
