@@ -10,6 +10,7 @@ from .pages import record_text
 
 # A record's token position is below 2^31, so (seq, position) packs into one decimal.
 _POSITIONS = 2**31
+SALTS = 64
 
 
 def _check_limit(limit: int) -> None:
@@ -45,6 +46,23 @@ def keyword_search(records: DataFrame, keyword: str, limit: int = 10) -> DataFra
     return ranked.select("url", "title", "score", "snippet")
 
 
+def _salted_join(scores: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Scores of wanted words; each word is spread over ``SALTS`` join keys.
+
+    A word that stands in every record would otherwise gather all of them in one task.
+    """
+    copies = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    keys = wanted.select("keyword", F.explode(copies).alias("salt")).distinct()
+    salt = F.pmod(F.hash("seq"), F.lit(SALTS))
+    return scores.withColumn("salt", salt).join(keys, ["keyword", "salt"])
+
+
+def _top_by_keyword(scores: DataFrame, limit: int, *keys: str) -> DataFrame:
+    order = Window.partitionBy(*keys).orderBy(F.desc("score"), "seq")
+    rank = F.row_number().over(order).cast("bigint")
+    return scores.withColumn("rank", rank).filter(F.col("rank") <= limit)
+
+
 def keyword_search_batch(
     records: DataFrame, keywords: DataFrame, limit: int = 10
 ) -> DataFrame:
@@ -53,9 +71,9 @@ def keyword_search_batch(
     Single words only (letters, digits, underscore); anything else raises an error when
     the query runs. One pass over the texts serves all keywords. A keyword table of
     counted, bounded size is broadcast, so only matching words are shuffled; a larger
-    one meets the words after they are counted per record, when a word costs one row
-    per record. Either way the rank limit is applied inside each task before rows come
-    together by keyword. ``keyword, rank, seq, url, title, score, snippet``.
+    one meets the words after they are counted per record, spread over salted keys. The
+    rank limit is applied to parts of a word's records before they come together.
+    ``keyword, rank, seq, url, title, score, snippet``.
     """
     _check_limit(limit)
     word = F.lower("keyword")
@@ -63,7 +81,7 @@ def keyword_search_batch(
         F.when(word.rlike(rf"\A{text.WORD_CHAR}+\z"), word)
         .otherwise(F.raise_error(F.concat(F.lit("not a single word: "), F.col("keyword"))))
         .alias("keyword")
-    ).distinct()
+    )
     small = fits(wanted, BROADCAST_ROWS // max(limit, 1))
     texts = records.select("seq", "url", "title", record_text(records).alias("_text"))
     words = texts.select(
@@ -73,14 +91,11 @@ def keyword_search_batch(
         ).alias("keyword"),
     )
     if small:
-        words = words.join(F.broadcast(wanted), "keyword")
+        words = words.join(F.broadcast(wanted.distinct()), "keyword")
     scores = words.groupBy("keyword", "seq").agg(F.count("*").alias("score"))
     if not small:
-        scores = scores.join(wanted, "keyword")
-    order = Window.partitionBy("keyword").orderBy(F.desc("score"), "seq")
-    best = scores.withColumn("rank", F.row_number().over(order).cast("bigint")).filter(
-        F.col("rank") <= limit
-    )
+        scores = _top_by_keyword(_salted_join(scores, wanted), limit, "keyword", "salt")
+    best = _top_by_keyword(scores, limit, "keyword")
     # At most (keywords x limit) rows fetch their texts in a second scan.
     found = texts.join(F.broadcast(best) if small else best, "seq")
     return found.select(

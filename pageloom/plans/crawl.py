@@ -225,52 +225,46 @@ def _fifo_stats(
     if it was queued and reached after the target's visit. Blocked links count one by
     one. Once the budget is filled, entries behind the last visited one are not reached.
     """
-    summary = records.agg(
-        F.count_if(F.col("error").isNull()).alias("pages_visited"),
-        F.count_if(F.col("error").isNotNull()).alias("pages_failed"),
-        F.max("key").alias("_last_key"),
-        _elapsed(records).alias("elapsed_seconds"),
-    )
-    visits = records.select("url", F.col("seq").alias("visit_seq"))
-    links = _links(records, max_depth).join(visits, "url", "left")
-    last = summary.select("_last_key")
-    # One row against the links: the position of the last visited entry.
     reached = F.lit(True)
     if filled:
-        links = links.join(F.broadcast(last))
-        reached = F.col("key") <= F.col("_last_key")
+        last_key = records.agg(F.max("key").alias("key")).first()["key"]
+        reached = F.col("key") <= F.lit(last_key).cast("decimal(38,0)")
+    visits = records.select("url", F.col("seq").alias("visit_seq"))
+    links = _links(records, max_depth).join(visits, "url", "left")
     known = F.col("visit_seq").isNotNull()
     early = known & (F.col("visit_seq") <= F.col("src_seq"))
-    link_counts = links.agg(
-        F.count_if(early).alias("_early"), F.count_if(known & ~early & reached).alias("_late")
-    )
     unknown = links.filter(~known).groupBy("url").agg(F.count("*").alias("n"))
-    blocked = (
-        robots_allowed(unknown, policy)
-        .filter(~F.col("allowed"))
-        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("_blocked_links"))
-    )
-    starts = robots_allowed(_seed_entries(seeds), policy)
-    if filled:
-        starts = starts.join(F.broadcast(last)).filter(F.col("key") <= F.col("_last_key"))
-    start_counts = starts.agg(
-        F.count_if("allowed").alias("_starts"), F.count_if(~F.col("allowed")).alias("_denied")
-    )
-    one_row = (
-        summary.join(F.broadcast(link_counts))
-        .join(F.broadcast(blocked))
-        .join(F.broadcast(start_counts))
-    )
-    duplicates = (
-        F.col("_early") + F.col("_late") + F.col("_starts")
-        - F.col("pages_visited") - F.col("pages_failed")
-    )
-    return one_row.select(
-        "pages_visited",
-        "pages_failed",
-        (F.col("_blocked_links") + F.col("_denied")).alias("pages_skipped_robots"),
-        duplicates.alias("duplicate_urls_skipped"),
-        "elapsed_seconds",
+    starts = robots_allowed(_seed_entries(seeds), policy).filter(reached)
+    allowed = F.col("allowed")
+    # Each part is one row of partial counts; the sum of all is the result.
+    parts = [
+        records.agg(
+            F.count_if(F.col("error").isNull()).alias("pages_visited"),
+            F.count_if(F.col("error").isNotNull()).alias("pages_failed"),
+            (-F.count("*")).alias("duplicate_urls_skipped"),
+            _elapsed(records).alias("elapsed_seconds"),
+        ),
+        links.agg(F.count_if(early | (known & reached)).alias("duplicate_urls_skipped")),
+        robots_allowed(unknown, policy).filter(~allowed).agg(
+            F.sum("n").alias("pages_skipped_robots")
+        ),
+        starts.agg(
+            F.count_if(allowed).alias("duplicate_urls_skipped"),
+            F.count_if(~allowed).alias("pages_skipped_robots"),
+        ),
+    ]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return rows.agg(
+        *(
+            F.coalesce(F.sum(name), F.lit(0)).alias(name)
+            for name in (
+                "pages_visited",
+                "pages_failed",
+                "pages_skipped_robots",
+                "duplicate_urls_skipped",
+            )
+        ),
+        F.max("elapsed_seconds").alias("elapsed_seconds"),
     )
 
 

@@ -8,24 +8,29 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.reuse import per_application
+
 # Rows of a few short columns that are safe to hold in every executor.
 BROADCAST_ROWS = 100_000
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+@per_application
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="pageloom-")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     Only a local session without the setting gets a temporary folder of its own.
     """
-    configured = spark.conf.get(_CHECKPOINT_DIR, None)
-    if configured:
-        return configured
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    folder = spark.conf.get(_CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {_CHECKPOINT_DIR} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="pageloom-")
-    spark.conf.set(_CHECKPOINT_DIR, folder)
-    return folder
+    return _local_folder()
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
