@@ -1,0 +1 @@
+"""Page-corpus analytics on Spark."""
