@@ -6,9 +6,13 @@ Parquet tables stands in ``oracles.py``. All queries read whole tables.
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Callable
 from functools import partial
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 

@@ -29,6 +29,7 @@ DEFAULT_PAGES = 100
 _BEFORE_LINKS = "-1000000000000000000000000000000"
 # Rows tried beyond the open budget, so that a few failures need no further round.
 _SPARE_ROWS = 1_000
+_SALTS = 16
 
 _FETCH_FIELDS = ("status_code", "content_type", "body", "fetched_at", "error")
 
@@ -212,6 +213,14 @@ def _cut_at_budget(records: DataFrame, open_pages: int) -> DataFrame:
     return records.filter(F.col("seq") <= last)
 
 
+def _salted_join(links: DataFrame, visits: DataFrame) -> DataFrame:
+    """Links with their target's visit; links to one target meet it in many tasks."""
+    salts = F.sequence(F.lit(0), F.lit(_SALTS - 1))
+    salt = F.pmod(F.hash("key"), F.lit(_SALTS))
+    copies = visits.select("url", "visit_seq", F.explode(salts).alias("salt"))
+    return links.withColumn("salt", salt).join(copies, ["url", "salt"])
+
+
 def _fifo_stats(
     records: DataFrame,
     seeds: DataFrame,
@@ -222,18 +231,28 @@ def _fifo_stats(
     """Run counters from the visited records and all links they opened.
 
     A link counts as duplicate if its target was visited when its page was expanded, or
-    if it was queued and reached after the target's visit. Blocked links count one by
-    one. Once the budget is filled, entries behind the last visited one are not reached.
+    if it was queued and reached after the target's visit: all links to visited pages,
+    less one per page for the entry that led there. Once the budget is filled, entries
+    behind the last visited one are not reached, so there only the first kind counts.
+    Blocked links count one by one.
     """
-    reached = F.lit(True)
+    links = _links(records, max_depth)
+    visits = records.select("url", F.col("seq").alias("visit_seq"))
+    reached, beyond = F.lit(True), []
     if filled:
         last_key = records.agg(F.max("key").alias("key")).first()["key"]
         reached = F.col("key") <= F.lit(last_key).cast("decimal(38,0)")
-    visits = records.select("url", F.col("seq").alias("visit_seq"))
-    links = _links(records, max_depth).join(visits, "url", "left")
-    known = F.col("visit_seq").isNotNull()
-    early = known & (F.col("visit_seq") <= F.col("src_seq"))
-    unknown = links.filter(~known).groupBy("url").agg(F.count("*").alias("n"))
+        early = _salted_join(links.filter(~reached), visits)
+        beyond = [
+            early.agg(
+                F.count_if(F.col("visit_seq") <= F.col("src_seq"))
+                .alias("duplicate_urls_skipped")
+            )
+        ]
+    # Links are counted per target first: a URL that every page links to is one row.
+    targets = links.groupBy("url").agg(
+        F.count("*").alias("n"), F.count_if(reached).alias("n_reached")
+    )
     starts = robots_allowed(_seed_entries(seeds), policy).filter(reached)
     allowed = F.col("allowed")
     # Each part is one row of partial counts; the sum of all is the result.
@@ -244,10 +263,13 @@ def _fifo_stats(
             (-F.count("*")).alias("duplicate_urls_skipped"),
             _elapsed(records).alias("elapsed_seconds"),
         ),
-        links.agg(F.count_if(early | (known & reached)).alias("duplicate_urls_skipped")),
-        robots_allowed(unknown, policy).filter(~allowed).agg(
-            F.sum("n").alias("pages_skipped_robots")
+        *beyond,
+        targets.join(visits, "url", "left_semi").agg(
+            F.sum("n_reached").alias("duplicate_urls_skipped")
         ),
+        robots_allowed(targets.join(visits, "url", "left_anti"), policy)
+        .filter(~allowed)
+        .agg(F.sum("n").alias("pages_skipped_robots")),
         starts.agg(
             F.count_if(allowed).alias("duplicate_urls_skipped"),
             F.count_if(~allowed).alias("pages_skipped_robots"),
