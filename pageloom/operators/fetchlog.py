@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.reuse import per_application
 from ..functions.urls import get_domain
+from ..plans.stages import salted_join
 
 # --- Fixed values ---------------------------------------------------------------
 HTML_CONTENT_TYPE = "text/html"
@@ -115,22 +116,17 @@ def effective_delay(
 ) -> DataFrame:
     """Adds ``delay``: the larger of ``request_delay`` and the host's crawl delay.
 
-    ``delays(netloc, delay)`` has one row per host. No join hint: Spark broadcasts it
-    when its measured size allows and otherwise splits hot hosts at run time.
+    ``delays(netloc, delay)`` has one row per host; pages of a hot host are spread.
     """
     by_host = delays.select(
-        F.col("netloc").alias("_host"), F.col("delay").cast("double").alias("_delay")
+        F.col("netloc").alias("_domain"), F.col("delay").cast("double").alias("_delay")
     )
+    placed = fetches.withColumn("_domain", get_domain(F.col("url")))
+    larger = F.greatest(F.lit(float(request_delay)), F.coalesce("_delay", F.lit(0.0)))
     return (
-        fetches.withColumn("_domain", get_domain(F.col("url")))
-        .join(by_host, F.col("_domain") == F.col("_host"), "left")
-        .withColumn(
-            "delay",
-            F.greatest(
-                F.lit(float(request_delay)), F.coalesce("_delay", F.lit(0.0))
-            ),
-        )
-        .drop("_domain", "_host", "_delay")
+        salted_join(placed, by_host, "_domain", ["url"], "left")
+        .withColumn("delay", larger)
+        .drop("_domain", "_delay")
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.urls import domain_suffixes, get_domain, is_crawlable_scheme
+from ..plans.stages import salted_join
 from .robots import robots_allowed
 
 _LINKS_PER_PAGE = 2**31  # an array cannot hold more
@@ -68,8 +69,9 @@ def _domain_test(urls: DataFrame, roots: DataFrame) -> DataFrame:
     )
     named = roots.select(F.lower("root").alias("root"))
     inside = suffixes.join(named, "root", "left_semi").select("_domain").distinct()
+    hits = inside.withColumn("_hit", F.lit(True))
     return (
-        tested.join(inside.withColumn("_hit", F.lit(True)), "_domain", "left")
+        salted_join(tested, hits, "_domain", ["url"], "left")
         .withColumn("_inside", F.col("_hit").isNotNull())
         .drop("_domain", "_hit")
     )
@@ -88,8 +90,10 @@ def eligible(
     """
     seen = visited.select("url").distinct().withColumn("_seen", F.lit(True))
     judged = robots_allowed(_domain_test(edges, roots), policy, respect_robots)
+    # Links to one hot URL differ in where they come from.
+    spread = [name for name, kind in edges.dtypes if not kind.startswith("map")]
     return (
-        judged.join(seen, "url", "left")
+        salted_join(judged, seen, "url", spread, "left")
         .withColumn(
             "reject_reason",
             F.when(~is_crawlable_scheme(F.col("url")), "scheme")

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.reuse import per_application
 from ..functions.text import let, strip
 from ..functions.urls import get_domain
+from ..plans.stages import salted_join
 
 # --- Fixed values ---------------------------------------------------------------
 ANY_AGENT = "*"
@@ -179,22 +180,21 @@ def robots_allowed(
     """Adds ``allowed`` to rows with a ``url``; the first matching prefix decides.
 
     Rules stay packed in one row per host, so the join never multiplies URLs by rules.
-    No hint is given: a policy table below Spark's broadcast threshold is broadcast,
-    beyond it adaptive execution splits the partitions of hot hosts.
+    No hint is given: a policy table below Spark's broadcast threshold is broadcast;
+    beyond it a hot host's URLs are spread over salted keys.
     """
     if not enabled or policy is None:
         return urls.withColumn("allowed", F.lit(True))
     hosts = policy.select(
-        F.col("netloc").alias("_host"),
+        F.col("netloc").alias("_domain"),
         F.col("verdict").alias("_verdict"),
         F.col("rules").alias("_rules"),
     )
     prepared, allowed = _verdict_columns()
     return (
-        urls.withColumns(prepared)
-        .join(hosts, F.col("_domain") == F.col("_host"), "left")
+        salted_join(urls.withColumns(prepared), hosts, "_domain", ["url"], "left")
         .withColumn("allowed", allowed)
-        .drop("_domain", "_target", "_host", "_verdict", "_rules")
+        .drop("_domain", "_target", "_verdict", "_rules")
     )
 
 

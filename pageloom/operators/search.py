@@ -46,17 +46,6 @@ def keyword_search(records: DataFrame, keyword: str, limit: int = 10) -> DataFra
     return ranked.select("url", "title", "score", "snippet")
 
 
-def _salted_join(scores: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Scores of wanted words; each word is spread over ``SALTS`` join keys.
-
-    A word that stands in every record would otherwise gather all of them in one task.
-    """
-    copies = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    keys = wanted.select("keyword", F.explode(copies).alias("salt")).distinct()
-    salt = F.pmod(F.hash("seq"), F.lit(SALTS))
-    return scores.withColumn("salt", salt).join(keys, ["keyword", "salt"])
-
-
 def _top_by_keyword(scores: DataFrame, limit: int, *keys: str) -> DataFrame:
     order = Window.partitionBy(*keys).orderBy(F.desc("score"), "seq")
     rank = F.row_number().over(order).cast("bigint")
@@ -94,7 +83,14 @@ def keyword_search_batch(
         words = words.join(F.broadcast(wanted.distinct()), "keyword")
     scores = words.groupBy("keyword", "seq").agg(F.count("*").alias("score"))
     if not small:
-        scores = _top_by_keyword(_salted_join(scores, wanted), limit, "keyword", "salt")
+        # A word in every record would gather all of them in one task, in the join and
+        # in the ranking; both work on parts of its records first.
+        part = F.pmod(F.hash("seq"), F.lit(SALTS))
+        parts = wanted.select(
+            "keyword", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("part")
+        ).distinct()
+        scores = scores.withColumn("part", part).join(parts, ["keyword", "part"])
+        scores = _top_by_keyword(scores, limit, "keyword", "part")
     best = _top_by_keyword(scores, limit, "keyword")
     # At most (keywords x limit) rows fetch their texts in a second scan.
     found = texts.join(F.broadcast(best) if small else best, "seq")

@@ -18,7 +18,7 @@ from ..operators.frontier import dedupe_frontier, link_edges, link_key, not_visi
 from ..operators.pages import parse_pages
 from ..operators.robots import robots_allowed, robots_policy
 from ..schema import RECORD_FIELDS, with_defaults
-from .stages import materialize, with_row_index
+from .stages import materialize, salted_join, with_row_index
 
 # --- Fixed values ---------------------------------------------------------------
 DEFAULT_DEPTH = 2
@@ -29,7 +29,6 @@ DEFAULT_PAGES = 100
 _BEFORE_LINKS = "-1000000000000000000000000000000"
 # Rows tried beyond the open budget, so that a few failures need no further round.
 _SPARE_ROWS = 1_000
-_SALTS = 16
 
 _FETCH_FIELDS = ("status_code", "content_type", "body", "fetched_at", "error")
 
@@ -213,14 +212,6 @@ def _cut_at_budget(records: DataFrame, open_pages: int) -> DataFrame:
     return records.filter(F.col("seq") <= last)
 
 
-def _salted_join(links: DataFrame, visits: DataFrame) -> DataFrame:
-    """Links with their target's visit; links to one target meet it in many tasks."""
-    salts = F.sequence(F.lit(0), F.lit(_SALTS - 1))
-    salt = F.pmod(F.hash("key"), F.lit(_SALTS))
-    copies = visits.select("url", "visit_seq", F.explode(salts).alias("salt"))
-    return links.withColumn("salt", salt).join(copies, ["url", "salt"])
-
-
 def _fifo_stats(
     records: DataFrame,
     seeds: DataFrame,
@@ -242,7 +233,7 @@ def _fifo_stats(
     if filled:
         last_key = records.agg(F.max("key").alias("key")).first()["key"]
         reached = F.col("key") <= F.lit(last_key).cast("decimal(38,0)")
-        early = _salted_join(links.filter(~reached), visits)
+        early = salted_join(links.filter(~reached), visits, "url", ["key"])
         beyond = [
             early.agg(
                 F.count_if(F.col("visit_seq") <= F.col("src_seq"))
@@ -366,7 +357,7 @@ def _crawl_level(
         turn += 1
 
         seen = _union(done).select("url", F.lit(True).alias("_seen"))
-        links = _links(records, max_depth).join(seen, "url", "left")
+        links = salted_join(_links(records, max_depth), seen, "url", ["key"], "left")
         reason = F.when(F.col("_seen"), "visited").when(~F.col("allowed"), "robots")
         queue = (
             robots_allowed(links.drop("src_seq"), policy)

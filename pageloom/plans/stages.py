@@ -12,6 +12,8 @@ from ..functions.reuse import per_application
 
 # Rows of a few short columns that are safe to hold in every executor.
 BROADCAST_ROWS = 100_000
+# Parts that a hot key is split into.
+SALTS = 16
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
@@ -50,6 +52,26 @@ def fits(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def salted_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    spread: list[str],
+    how: str = "inner",
+    salts: int = SALTS,
+) -> DataFrame:
+    """Join on ``key`` when very many rows of ``left`` may share one value of it.
+
+    Rows of ``right`` (few, narrow) are copied under ``salts`` numbers; each row of
+    ``left`` looks for one of them, chosen by a hash of its ``spread`` columns. So a hot
+    key is met in many tasks, and each pair still exactly once.
+    """
+    numbers = F.sequence(F.lit(0), F.lit(salts - 1))
+    copies = right.withColumn("_salt", F.explode(numbers))
+    chosen = left.withColumn("_salt", F.pmod(F.hash(*spread), F.lit(salts)))
+    return chosen.join(copies, [key, "_salt"], how).drop("_salt")
+
+
 def with_row_index(
     df: DataFrame, *order: Column | str, name: str = "idx"
 ) -> tuple[DataFrame, int]:
