@@ -27,6 +27,14 @@ from pageloom.sources import fetches, records as record_io
 from pageloom.sources.robots import one_per_host
 from pageloom.sources.seeds import root_domains
 
+try:
+    import corpus_pipeline
+    from pageloom.llm import queries as llm_queries
+except ModuleNotFoundError as error:  # the folder is optional; anything else is an error
+    if error.name not in ("corpus_pipeline", "pageloom.llm"):
+        raise
+    llm_queries = None
+
 AGENT = "PageBot/1.0 (+https://bot.example/about)"
 EVERYTHING = 10**12  # a page budget that no test corpus fills
 Query = Callable[[SparkSession, str], DataFrame]
@@ -573,8 +581,16 @@ def queries() -> dict[str, Query]:
     registered = {query.__name__: query for query in plain}
     registered["fetch_collapse_lenient"] = partial(fetch_collapse, strict=False)
     registered["fetch_classes_lenient"] = partial(fetch_classes, strict=False)
+    if llm_queries:
+        registered |= llm_queries.queries()
+        registered["pipeline"] = corpus_pipeline.run
     return registered
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.all_queries()
+    registered = oracles.all_queries()
+    if llm_queries:
+        registered |= llm_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            registered["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return registered
