@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, language_id, ngram_join, packing, pii, quality, sql
+from . import decontamination, language_id, ngram_join, packing, pii, quality, sql, suffix_dedup
 from .common import crc_bucket
 from .tokens import vocabulary
 
@@ -39,6 +39,10 @@ def op7_similar_components(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.similar_components(_table(spark, folder, "documents"))
 
 
+def op8_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, folder, "documents"))
+
+
 def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     bucket = crc_bucket(F.col("doc_id"), 4)
@@ -57,7 +61,7 @@ def op10_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict:
     listed = [
         op1_pack_documents, op2_benchmark_matches, op4_quality_ledger,
-        op7_similar_components, op9_language_id, op10_pseudonyms,
+        op7_similar_components, op8_repeated_bytes, op9_language_id, op10_pseudonyms,
     ]
     return {query.__name__: query for query in listed}
 
