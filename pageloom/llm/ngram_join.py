@@ -20,8 +20,10 @@ _SLICE = 4 << 20
 # Rows of a list of candidates that are searched together; longer lists are cut in blocks.
 BLOCK_ROWS = 1_500
 # Documents looked at, and grams kept, to put frequent grams last in the common order.
-ORDER_SAMPLE = 20_000
+ORDER_SAMPLE = 2_000
 ORDER_GRAMS = 50_000
+# Grams that one task compares, of the lowest 40 bits of their hash.
+PART_GRAMS = 2_000_000
 _SEED = np.uint64(0xA24BAED4963EE407)
 
 
@@ -153,18 +155,24 @@ class Lists:
 
 
 def _tokens(docs: DataFrame, n: int, percent: int, last: np.ndarray | None) -> DataFrame:
-    """Rows ``(gram, key)`` of every text's prefix, frequent grams ordered last."""
+    """Rows ``(gram, key)`` of every text's prefix, frequent grams ordered last.
+
+    A task emits equal sets once. Without ``last``, all grams of the sets.
+    """
     overlap = Overlap(percent)
     shared = docs.sparkSession.sparkContext.broadcast(last) if last is not None else None
 
     def emit(batches):
         late = shared.value if shared else None
+        seen: set[int] = set()
         for _, texts in slices(batches, "text", _SLICE):
             grams, keys, sizes = [], [], []
             for own in gram_sets(texts, n):
-                if not len(own):
+                key = set_key(own)
+                if not len(own) or key in seen:
                     continue
-                keys.append(set_key(own))
+                seen.add(key)
+                keys.append(key)
                 if late is None:
                     grams.append(own)
                 else:
@@ -191,12 +199,91 @@ def _frequent(docs: DataFrame, total: int, n: int, percent: int) -> np.ndarray:
     """Grams found often in a sample; they only come last in the order of grams."""
     part = max(1, total // ORDER_SAMPLE)
     sample = docs.filter(F.pmod(F.xxhash64("text"), F.lit(part)) == 0)
-    counts = _tokens(sample, n, percent, None).distinct().groupBy("gram").agg(F.count("*").alias("n"))
+    counts = _tokens(sample, n, percent, None).groupBy("gram").agg(F.count("*").alias("n"))
     top = counts.filter("n > 3").orderBy(F.desc("n"), "gram").limit(ORDER_GRAMS).select("gram")
     grams = np.array([r[0] for r in top.toLocalIterator()], np.int64)
     return np.sort(grams.view(np.uint64))
 
 
+def _shared_counts(docs: DataFrame, grams: int, n: int, last: np.ndarray) -> DataFrame:
+    """``(key, shared)``: at least how many grams of each set any other set may have too.
+
+    The upper bound is what matters: a gram counts when another set has it, when it is one
+    of the frequent ones, or (rarely) when another gram's hash agrees in all bits that are
+    kept. Grams are dealt out by hash; what a slice sends to a part is packed into one row,
+    five bytes a gram. Frequent grams are not sent, so no gram fills a part.
+    """
+    parts = max(1, grams // PART_GRAMS)
+    shared = docs.sparkSession.sparkContext.broadcast(last)
+
+    def request(batches):
+        frequent = shared.value
+        seen: set[int] = set()
+        for _, texts in slices(batches, "text", 2 * _SLICE):
+            keys, sets, known = [], [], []
+            for own in gram_sets(texts, n):
+                key = set_key(own)
+                if not len(own) or key in seen:
+                    continue
+                seen.add(key)
+                at = np.searchsorted(frequent, own)
+                at[at == len(frequent)] = 0
+                common = frequent[at] == own if len(frequent) else np.zeros(len(own), bool)
+                keys.append(key)
+                known.append(int(common.sum()))
+                sets.append(own[~common] if common.any() else own)
+            if not keys:
+                continue
+            own = np.concatenate(sets)
+            row = np.repeat(np.arange(len(keys)), [len(x) for x in sets])
+            part = (own >> np.uint64(40)) % np.uint64(parts)
+            order = np.argsort(part, kind="stable")
+            ends = np.searchsorted(part[order], np.arange(parts), side="right")
+            packed = own[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+            start, out = 0, []
+            key_bytes, known_bytes = np.array(keys, "<i8").tobytes(), np.array(known, "<u4").tobytes()
+            for number, end in enumerate(ends.tolist()):
+                counts = np.bincount(row[order[start:end]], minlength=len(keys)).astype("<u4")
+                first = number == hash(keys[0]) % parts
+                out.append((number, key_bytes, counts.tobytes(), known_bytes if first else b"", packed[start:end].tobytes()))
+                start = end
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[0] for x in out], pa.int32()), *(pa.array([x[i] for x in out], pa.binary()) for i in range(1, 5))],
+                ["part", "keys", "counts", "known", "grams"],
+            )
+
+    def count(group: pa.Table) -> pa.Table:
+        keys, grams, total = [], [], {}
+        for own, counts, known, packed in zip(*(group[c].to_pylist() for c in ("keys", "counts", "known", "grams"))):
+            own, counts = np.frombuffer(own, "<i8"), np.frombuffer(counts, "<u4")
+            keys.append(np.repeat(own, counts))
+            wide = np.zeros((len(packed) // 5, 8), np.uint8)
+            wide[:, :5] = np.frombuffer(packed, np.uint8).reshape(-1, 5)
+            grams.append(wide.view("<u8").ravel())
+            for key, number in zip(own.tolist(), np.frombuffer(known, "<u4").tolist()):
+                total[key] = number
+        keys, grams = np.concatenate(keys), np.concatenate(grams)
+        order = np.argsort(grams)
+        keys, grams = keys[order], grams[order]
+        first = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]]) if len(grams) else np.zeros(0, int)
+        if len(first):
+            several = np.minimum.reduceat(keys, first) < np.maximum.reduceat(keys, first)
+            keys = keys[np.repeat(several, np.diff(np.r_[first, len(grams)]))]
+        own, counts = np.unique(keys, return_counts=True)
+        return pa.table(
+            {
+                "key": pa.array([*own.tolist(), *total], pa.int64()),
+                "shared": pa.array([*counts.tolist(), *total.values()], pa.int64()),
+            }
+        )
+
+    asked = docs.select("text").mapInArrow(
+        request, "part int, keys binary, counts binary, known binary, grams binary"
+    )
+    found = asked.groupBy("part").applyInArrow(count, "key long, shared long")
+    return found.groupBy("key").agg(F.sum("shared").alias("shared"))
+
+
 def _described(docs: DataFrame, n: int) -> DataFrame:
     """``(doc_id, uid, size, key)`` of every document; key is null without words."""
 
@@ -273,15 +360,18 @@ def similar_components(
     ``n``-word shingles, hashed to 64 bits. Two link when ``100·|∩| ≥ percent·|∪|``. No
     link between different sets is lost; equal sets are one node from the start.
 
-    1. Two linked sets share one of their first grams in any common order. The order puts
-       grams that are frequent in a sample last, then goes by hash. Grams that occur in
-       the prefixes of one set only are dropped by a partial aggregation.
-    2. In each remaining list, sets that share much of their prefix with the list's
+    1. A set can only link if ``percent`` of its grams occur in other sets: all grams are
+       compared, and only such sets go on.
+    2. Two linked sets share one of their first grams in any common order. The order puts
+       grams that are frequent in a sample last, then goes by hash. Grams in the prefix
+       of one set only are dropped by a partial aggregation.
+    3. In each remaining list, sets that share much of their prefix with the list's
        smallest set are compared with it alone. That joins large groups of near copies
        with one comparison per member.
-    3. Lists that still hold several components are searched: T-occurrence search by
-       DivideSkip inside the list (:class:`Lists`), whose links are then joined. Equal
-       lists are searched once; long lists are cut in blocks, each pair of blocks a task.
+    4. Lists that still hold several components are searched: sets connected by such
+       lists are a cluster, and T-occurrence search by DivideSkip (:class:`Lists`) finds
+       the links inside it. A cluster of more than ``BLOCK_ROWS`` sets is searched list by
+       list instead, equal lists once, long ones cut in blocks, each two blocks a task.
 
     Returns ``doc_id``, ``n_shingles`` and ``component_id``, the smallest id in reach.
     A null or empty text, or one without words, has no shingles and is alone; null ids
@@ -296,21 +386,24 @@ def similar_components(
     plain = plain.select(F.col("doc_id").cast("long"), lowered.alias("text"))
     uid = F.coalesce("doc_id", F.xxhash64("text"))
     described = stored(_described(plain.select("doc_id", uid.alias("uid"), "text"), n), "sets")
-    total = described.count()
+    total, grams = described.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     last = _frequent(plain, total, n, percent)
-
-    # Grams of several sets, and who has them.
-    tokens = _tokens(plain, n, percent, last)
-    common = tokens.groupBy("gram").agg(F.min("key").alias("rep"), F.max("key").alias("top"))
-    common = stored(common.filter("rep < top").select("gram", "rep"), "common-grams")
-    postings = stored(tokens.join(common, "gram").select("gram", "rep", "key").distinct(), "postings")
-
     sizes = described.filter("size > 0").groupBy("key").agg(
         F.first("size").alias("size"), F.min("uid").alias("uid")
     )
-    members = postings.select("key").distinct().join(sizes, "key")
-    fetched = plain.select(uid.alias("uid"), "text").join(members.select("uid", "key"), "uid")
-    texts = stored(_same_key(fetched, n).dropDuplicates(["key"]), "texts")
+
+    # Sets of which enough grams are found elsewhere, and their texts.
+    least = F.ceil(F.col("size") * percent / 100)
+    members = _shared_counts(plain, grams, n, last).join(sizes, "key").filter(F.col("shared") >= least)
+    members = stored(members.select("uid", "key"), "members")
+    fetched = plain.select(uid.alias("uid"), "text").join(members, "uid")
+    texts = stored(_same_key(fetched, n).dropDuplicates(["key"]), "candidates")
+
+    # Grams of several sets' prefixes, and who has them.
+    tokens = _tokens(texts, n, percent, last)
+    common = tokens.groupBy("gram").agg(F.min("key").alias("rep"), F.max("key").alias("top"))
+    common = common.filter("rep < top").select("gram", "rep")
+    postings = stored(tokens.join(common, "gram").select("gram", "rep", "key"), "postings")
 
     # Most of a large group hangs on its smallest member.
     least = F.floor((F.col("size") * (100 - percent) + 199) / 200)
@@ -326,21 +419,18 @@ def similar_components(
     first = first.select(F.col("node").alias("key"), F.col("component").alias("comp"))
     owned = postings.select("gram", "key").join(first, "key", "left")
     owned = owned.withColumn("comp", F.coalesce("comp", "key"))
-    mark = F.xxhash64("key")
-    lists = owned.groupBy("gram").agg(
-        F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("rows"),
-        F.bit_xor(mark).alias("x"), F.sum(F.shiftright(mark, 24)).alias("s"),
-    )
-    lists = lists.filter("low < high").groupBy("rows", "x", "s").agg(F.min("gram").alias("gram"))
-    lists = stored(lists.select("gram", "rows"), "open-lists")
-    blocks = F.ceil(F.col("rows") / BLOCK_ROWS).cast("int")
-    rows = owned.join(lists, "gram").withColumn("blocks", blocks)
-    own = F.pmod(F.xxhash64("key", F.lit(7)), F.col("blocks").cast("long")).cast("int")
-    rows = rows.withColumn("own", own)
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    cell = lambda j: F.xxhash64("gram", F.least("own", j), F.greatest("own", j))
-    rows = rows.select(F.explode(F.transform(every, cell)).alias("cell"), "key", "comp")
-    found = _searched(rows.join(texts, "key").select("cell", "key", "comp", "text"), n, percent)
+    open_ = owned.groupBy("gram").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    owned = stored(owned.join(open_.filter("low < high").select("gram"), "gram").distinct(), "open")
+    heads = owned.groupBy("gram").agg(F.min("key").alias("b"))
+    clusters = components(owned.join(heads, "gram").select(F.col("key").alias("a"), "b"), "clusters")
+    clusters = clusters.select(F.col("node").alias("key"), F.col("component").alias("cell"))
+    counts = clusters.groupBy("cell").agg((F.count("*") > BLOCK_ROWS).alias("large"))
+    clusters = stored(clusters.join(counts, "cell"), "clusters")
+    usual = clusters.filter("NOT large").join(owned.select("key", "comp").distinct(), "key")
+    cells = usual.select("cell", "key", "comp").union(
+        _list_cells(owned.join(clusters.filter("large").select("key"), "key"))
+    )
+    found = _searched(cells.join(texts, "key").select("cell", "key", "comp", "text"), n, percent)
     links = stored(stars.union(stored(found, "found")), "links")
     final = components(links, "final").select(F.col("node").alias("key"), "component")
 
@@ -355,6 +445,25 @@ def similar_components(
     )
 
 
+def _list_cells(rows: DataFrame) -> DataFrame:
+    """Cells of the lists ``(gram, key, comp)`` of clusters too large to be one.
+
+    Equal lists are taken once. A list of more than ``BLOCK_ROWS`` is cut in blocks by
+    key, and each two blocks are a cell.
+    """
+    mark = F.xxhash64("key")
+    lists = rows.groupBy("gram").agg(
+        F.count("*").alias("rows"), F.bit_xor(mark).alias("x"), F.sum(F.shiftright(mark, 24)).alias("s")
+    )
+    lists = lists.groupBy("rows", "x", "s").agg(F.min("gram").alias("gram")).select("gram", "rows")
+    rows = rows.join(lists, "gram").withColumn("blocks", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int"))
+    own = F.pmod(F.xxhash64("key", F.lit(7)), F.col("blocks").cast("long")).cast("int")
+    rows = rows.withColumn("own", own)
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    cell = lambda j: F.xxhash64("gram", F.least("own", j), F.greatest("own", j))
+    return rows.select(F.explode(F.transform(every, cell)).alias("cell"), "key", "comp")
+
+
 def _same_key(fetched: DataFrame, n: int) -> DataFrame:
     """Rows whose text has the key it was fetched for: ids may repeat."""
 
