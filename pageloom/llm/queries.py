@@ -2,10 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, language_id, ngram_join, packing, pii, quality, sql, suffix_dedup
+from . import (
+    decontamination,
+    language_id,
+    licenses,
+    lm_scoring,
+    ngram_join,
+    packing,
+    pii,
+    quality,
+    sql,
+    suffix_dedup,
+    token_counts,
+)
 from .common import crc_bucket
+from .stages import stage_folder
 from .tokens import vocabulary
 
 # Of the examples only; a production key comes from a secret store.
@@ -26,6 +41,32 @@ def op2_benchmark_matches(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_token_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents inserted; later copies deleted; symbols taken out of the rest.
+
+    Each batch is committed, the second one twice.
+    """
+    docs = _table(spark, folder, "documents").select("doc_id", "source", "lang", "text")
+    rollup = token_counts.TokenRollup(
+        spark,
+        f"{stage_folder(spark)}/llm/{uuid.uuid4().hex}-rollup",
+        {"words-1": token_counts.word_count, "characters-1": token_counts.character_count},
+    )
+    rollup.commit(1, docs.withColumn("kind", F.lit("insert")))
+    marked = docs.withColumn("digest", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    firsts = marked.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
+    copies = marked.select("doc_id", "digest").join(firsts.filter("n > 1"), "digest").filter("doc_id > first")
+    gone = copies.select(F.lit("delete").alias("kind"), "doc_id", *(F.lit(None).cast("string").alias(c) for c in ("source", "lang", "text")))
+    rollup.commit(2, gone)
+    rollup.commit(2, gone)
+    symbols = "#*$%&|<>"
+    kept = docs.filter(F.length("text") != F.length(F.translate("text", symbols, "")))
+    kept = kept.join(gone.select("doc_id"), "doc_id", "left_anti")
+    revised = kept.withColumn("text", F.translate("text", symbols, ""))
+    rollup.commit(3, revised.withColumn("kind", F.lit("revise")))
+    return rollup.totals()
+
+
 def op4_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
     ledger = quality.apply_policy(quality.rule_ledger(_table(spark, folder, "documents")), 2)
     base = F.col("fail_bits").bitwiseAND(F.lit(quality.BASE).cast("bigint")) != 0
@@ -35,6 +76,16 @@ def op4_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    held_out = crc_bucket(F.col("doc_id"), 10) == 0
+    return lm_scoring.scores(docs.withColumn("held_out", held_out), held_out_col="held_out")
+
+
+def op6_license_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_paragraphs(_table(spark, folder, "documents"))
+
+
 def op7_similar_components(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.similar_components(_table(spark, folder, "documents"))
 
@@ -60,7 +111,8 @@ def op10_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict:
     listed = [
-        op1_pack_documents, op2_benchmark_matches, op4_quality_ledger,
+        op1_pack_documents, op2_benchmark_matches, op3_token_rollup, op4_quality_ledger,
+        op5_lm_scores, op6_license_paragraphs,
         op7_similar_components, op8_repeated_bytes, op9_language_id, op10_pseudonyms,
     ]
     return {query.__name__: query for query in listed}

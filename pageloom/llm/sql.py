@@ -69,5 +69,18 @@ FROM (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) LEFT
 """
 
 
+OP3 = rf"""
+WITH copies AS (
+  SELECT source, lang, text, doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS later FROM documents
+), kept AS (
+  SELECT source, lang, translate(coalesce(text, ''), '#*$%&|<>', '') AS text FROM copies WHERE NOT later
+)
+SELECT source, lang, 'words-1' AS tokenizer, count(*) AS docs,
+  CAST(sum(len({_WORDS})) AS BIGINT) AS tokens FROM kept GROUP BY ALL
+UNION ALL
+SELECT source, lang, 'characters-1', count(*), CAST(sum(length(text)) AS BIGINT) FROM kept GROUP BY ALL
+"""
+
+
 def all_queries() -> dict[str, str]:
-    return {"op4_quality_ledger": OP4, "op7_similar_components": OP7}
+    return {"op3_token_rollup": OP3, "op4_quality_ledger": OP4, "op7_similar_components": OP7}
