@@ -17,13 +17,17 @@ from .stages import ship_package, stored
 
 # Texts of one slice, bytes.
 _SLICE = 4 << 20
-# Rows of a list of candidates that are searched together; longer lists are cut in blocks.
-BLOCK_ROWS = 1_500
+# Grams of a block of candidates; two blocks are searched together.
+BLOCK_GRAMS = 1_000_000
 # Documents looked at, and grams kept, to put frequent grams last in the common order.
 ORDER_SAMPLE = 2_000
 ORDER_GRAMS = 50_000
 # Grams that one task compares, of the lowest 40 bits of their hash.
 PART_GRAMS = 2_000_000
+# Members of short lists above which they are counted rather than merged by a heap.
+COUNTED = 2_000
+# Blocks of a cluster, each two of which are searched together, before it is searched by list.
+MOST_BLOCKS = 24
 _SEED = np.uint64(0xA24BAED4963EE407)
 
 
@@ -94,51 +98,34 @@ class Lists:
         owner = np.repeat(np.arange(len(sets)), sizes)
         grams = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
         order = np.lexsort((owner, grams))
-        grams, owner = grams[order], owner[order]
-        cut = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]]) if len(grams) else []
-        ends = np.r_[cut[1:], len(grams)] if len(grams) else []
+        grams, self.owner = grams[order], owner[order]
+        first = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]]) if len(grams) else np.zeros(0, int)
+        ends = np.r_[first[1:], len(grams)] if len(grams) else first
         # A list of one set holds no partner.
-        self.lists = {
-            int(grams[a]): owner[a:b].tolist() for a, b in zip(cut, ends) if b - a > 1
-        }
+        several = ends - first > 1
+        self.grams, self.first, self.ends = grams[first][several], first[several], ends[several]
 
-    def search(self, query: int) -> list[int]:
-        """Later sets that reach the required overlap with set ``query`` (DivideSkip).
+    def _merged(self, short: list[np.ndarray], bound: int) -> list[tuple[int, int]]:
+        """Numbers in at least ``bound`` of the lists, with how many hold them.
 
-        With threshold ``T``, the longest lists are set aside, ``T`` of them less one at
-        most. The short ones are merged by a heap that skips: after ``n`` equal heads
-        short of the threshold, further lists are moved on by binary search to the next
-        number that can still reach it. Candidates are then looked up in the long lists.
+        A heap that skips: after ``n`` equal heads short of the bound, further lists are
+        moved on by binary search to the next number that can still reach it. Where the
+        lists are long altogether, their members are counted in an array instead.
         """
-        own = self.sets[query]
-        lists = [x for x in (self.lists.get(int(g)) for g in own) if x is not None]
-        least = self.overlap.least(len(own))
-        if len(lists) < least:
-            return []
-        lists.sort(key=len)
-        longest = len(lists[-1])
-        aside = min(least - 1, int(least / (self.weight * max(1, longest.bit_length()) + 1)))
-        short, long = lists[: len(lists) - aside], lists[len(lists) - aside :]
-        bound = least - aside
-        # Only sets after the query, so that each pair is met once.
-        heads = [(x[i], i, n) for n, x in enumerate(short) if (i := bisect_left(x, query + 1)) < len(x)]
+        if sum(map(len, short)) > COUNTED:
+            counts = np.bincount(np.concatenate(short))
+            rows = np.flatnonzero(counts >= bound)
+            return list(zip(rows.tolist(), counts[rows].tolist()))
+        lists = [x.tolist() for x in short]
+        heads = [(x[0], 0, n) for n, x in enumerate(lists) if x]
         heapq.heapify(heads)
         found = []
         while len(heads) >= bound:
-            top = heads[0][0]
-            popped = []
+            top, popped = heads[0][0], []
             while heads and heads[0][0] == top:
                 popped.append(heapq.heappop(heads))
             if len(popped) >= bound:
-                count = len(popped)
-                other = len(self.sets[top])
-                needed = self.overlap.needed(len(own), other)
-                if min(len(own), other) >= needed and count + len(long) >= needed:
-                    for x in long:
-                        i = bisect_left(x, top)
-                        count += i < len(x) and x[i] == top
-                    if count >= needed:
-                        found.append(top)
+                found.append((top, len(popped)))
                 target = top + 1
             else:
                 for _ in range(min(bound - 1 - len(popped), len(heads))):
@@ -147,10 +134,44 @@ class Lists:
                     break
                 target = heads[0][0]
             for _, i, n in popped:
-                x = short[n]
-                i = bisect_left(x, target, i)
-                if i < len(x):
-                    heapq.heappush(heads, (x[i], i, n))
+                i = bisect_left(lists[n], target, i)
+                if i < len(lists[n]):
+                    heapq.heappush(heads, (lists[n][i], i, n))
+        return found
+
+    def search(self, query: int) -> list[int]:
+        """Later sets that reach the required overlap with set ``query`` (DivideSkip).
+
+        With threshold ``T``, the longest lists are set aside, ``T`` of them less one at
+        most. The short ones are merged; sets found often enough there are then looked up
+        in the long lists by binary search.
+        """
+        own = self.sets[query]
+        least = self.overlap.least(len(own))
+        if not len(own) or len(self.grams) < least:
+            return []
+        at = np.searchsorted(self.grams, own)
+        at[at == len(self.grams)] = 0
+        at = at[self.grams[at] == own]
+        if len(at) < least:
+            return []
+        # Only sets after the query, so that each pair is met once.
+        lists = [self.owner[a:b] for a, b in zip(self.first[at].tolist(), self.ends[at].tolist())]
+        lists = [x[np.searchsorted(x, query, side="right") :] for x in lists]
+        lists.sort(key=len)
+        longest = len(lists[-1])
+        aside = min(least - 1, int(least / (self.weight * max(1, longest.bit_length()) + 1)))
+        short, long = lists[: len(lists) - aside], lists[len(lists) - aside :]
+        found = []
+        for other, count in self._merged(short, least - aside):
+            size = len(self.sets[other])
+            needed = self.overlap.needed(len(own), size)
+            if min(len(own), size) >= needed and count + len(long) >= needed:
+                for x in long:
+                    i = x.searchsorted(other)
+                    count += int(i < len(x) and x[i] == other)
+                if count >= needed:
+                    found.append(other)
         return found
 
 
@@ -370,8 +391,9 @@ def similar_components(
        with one comparison per member.
     4. Lists that still hold several components are searched: sets connected by such
        lists are a cluster, and T-occurrence search by DivideSkip (:class:`Lists`) finds
-       the links inside it. A cluster of more than ``BLOCK_ROWS`` sets is searched list by
-       list instead, equal lists once, long ones cut in blocks, each two blocks a task.
+       the links inside it. Clusters of more than ``BLOCK_GRAMS`` are cut
+       in blocks, each two of which are a task; those of very many blocks are searched
+       list by list instead, equal lists once.
 
     Returns ``doc_id``, ``n_shingles`` and ``component_id``, the smallest id in reach.
     A null or empty text, or one without words, has no shingles and is alone; null ids
@@ -420,16 +442,16 @@ def similar_components(
     owned = postings.select("gram", "key").join(first, "key", "left")
     owned = owned.withColumn("comp", F.coalesce("comp", "key"))
     open_ = owned.groupBy("gram").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-    owned = stored(owned.join(open_.filter("low < high").select("gram"), "gram").distinct(), "open")
+    owned = stored(owned.join(open_.filter("low < high").select("gram"), "gram").distinct().join(sizes.select("key", "size"), "key"), "open")
     heads = owned.groupBy("gram").agg(F.min("key").alias("b"))
     clusters = components(owned.join(heads, "gram").select(F.col("key").alias("a"), "b"), "clusters")
     clusters = clusters.select(F.col("node").alias("key"), F.col("component").alias("cell"))
-    counts = clusters.groupBy("cell").agg((F.count("*") > BLOCK_ROWS).alias("large"))
-    clusters = stored(clusters.join(counts, "cell"), "clusters")
-    usual = clusters.filter("NOT large").join(owned.select("key", "comp").distinct(), "key")
-    cells = usual.select("cell", "key", "comp").union(
-        _list_cells(owned.join(clusters.filter("large").select("key"), "key"))
-    )
+    clusters = clusters.join(owned.select("key", "comp", "size").distinct(), "key")
+    blocks = F.ceil(F.sum("size") / BLOCK_GRAMS).cast("int").alias("blocks")
+    clusters = stored(clusters.join(clusters.groupBy("cell").agg(blocks), "cell"), "clusters")
+    usual = clusters.filter(F.col("blocks") <= MOST_BLOCKS)
+    huge = clusters.filter(F.col("blocks") > MOST_BLOCKS).select("key")
+    cells = _block_cells(usual, "cell").union(_list_cells(owned.join(huge, "key")))
     found = _searched(cells.join(texts, "key").select("cell", "key", "comp", "text"), n, percent)
     links = stored(stars.union(stored(found, "found")), "links")
     final = components(links, "final").select(F.col("node").alias("key"), "component")
@@ -446,21 +468,27 @@ def similar_components(
 
 
 def _list_cells(rows: DataFrame) -> DataFrame:
-    """Cells of the lists ``(gram, key, comp)`` of clusters too large to be one.
+    """Cells of the lists ``(gram, key, comp, size)`` of clusters too large to be one.
 
-    Equal lists are taken once. A list of more than ``BLOCK_ROWS`` is cut in blocks by
-    key, and each two blocks are a cell.
+    Equal lists are taken once. A list of more than ``BLOCK_GRAMS`` grams is cut in
+    blocks by key, and each two blocks are a cell.
     """
     mark = F.xxhash64("key")
     lists = rows.groupBy("gram").agg(
-        F.count("*").alias("rows"), F.bit_xor(mark).alias("x"), F.sum(F.shiftright(mark, 24)).alias("s")
+        F.sum("size").alias("grams"), F.bit_xor(mark).alias("x"), F.sum(F.shiftright(mark, 24)).alias("s")
     )
-    lists = lists.groupBy("rows", "x", "s").agg(F.min("gram").alias("gram")).select("gram", "rows")
-    rows = rows.join(lists, "gram").withColumn("blocks", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int"))
+    lists = lists.groupBy("grams", "x", "s").agg(F.min("gram").alias("gram")).select("gram", "grams")
+    blocks = F.ceil(F.col("grams") / BLOCK_GRAMS).cast("int")
+    rows = rows.join(lists, "gram").withColumn("blocks", blocks)
+    return _block_cells(rows, "gram")
+
+
+def _block_cells(rows: DataFrame, name: str) -> DataFrame:
+    """Rows dealt to ``blocks`` blocks by key; each two blocks of a ``name`` are a cell."""
     own = F.pmod(F.xxhash64("key", F.lit(7)), F.col("blocks").cast("long")).cast("int")
-    rows = rows.withColumn("own", own)
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    cell = lambda j: F.xxhash64("gram", F.least("own", j), F.greatest("own", j))
+    cell = lambda j: F.xxhash64(name, F.least("own", j), F.greatest("own", j))
+    rows = rows.withColumn("own", own)
     return rows.select(F.explode(F.transform(every, cell)).alias("cell"), "key", "comp")
 
 

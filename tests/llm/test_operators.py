@@ -155,8 +155,9 @@ def test_ngram_join_equals_brute_force(docs, monkeypatch):
         if i is not None:
             smallest[root[n]] = min(i, smallest.get(root[n], i))
     expected = Counter((i, len(s), smallest.get(root[n])) for n, (i, s) in enumerate(sets))
-    for rows in (1_500, 2):
-        monkeypatch.setattr(ngram_join, "BLOCK_ROWS", rows)
+    for grams, blocks in ((1_000_000, 24), (200, 24), (200, 1)):
+        monkeypatch.setattr(ngram_join, "BLOCK_GRAMS", grams)
+        monkeypatch.setattr(ngram_join, "MOST_BLOCKS", blocks)
         got = Counter(tuple(r) for r in ngram_join.similar_components(docs).collect())
         assert got == expected
 
