@@ -9,7 +9,6 @@ from ..plans.stages import salted_join
 from .robots import robots_allowed
 
 _LINKS_PER_PAGE = 2**31  # an array cannot hold more
-LITERAL_ROOTS = 1_000
 
 
 def link_key(parent_seq: Column, link_pos: Column) -> Column:
@@ -51,23 +50,16 @@ def not_visited(candidates: DataFrame, visited: DataFrame) -> DataFrame:
 def _domain_test(urls: DataFrame, roots: DataFrame) -> DataFrame:
     """Adds ``_inside``: whether a URL's host equals a root or lies below one.
 
-    A counted handful of roots becomes a literal, tested in place. Beyond that the
-    suffix test becomes an equality join: the distinct hosts, exploded to all their
-    suffixes, are looked up among the roots and joined back.
+    The suffix test is an equality join: the distinct hosts, exploded to all their
+    suffixes, are looked up among the roots and joined back. NULL roots (seeds without a
+    URL) match nothing.
     """
-    known = [r["root"] for r in roots.select(F.lower("root").alias("root")).distinct()
-             .limit(LITERAL_ROOTS + 1).collect()]
     tested = urls.withColumn("_domain", get_domain(F.col("url")))
-    if len(known) <= LITERAL_ROOTS:
-        inside = F.arrays_overlap(
-            domain_suffixes(F.col("_domain")), F.lit(known).cast("array<string>")
-        )
-        return tested.withColumn("_inside", inside).drop("_domain")
     domains = tested.select("_domain").distinct()
     suffixes = domains.select(
         "_domain", F.explode(domain_suffixes(F.col("_domain"))).alias("root")
     )
-    named = roots.select(F.lower("root").alias("root"))
+    named = roots.select(F.lower("root").alias("root")).dropna()
     inside = suffixes.join(named, "root", "left_semi").select("_domain").distinct()
     hits = inside.withColumn("_hit", F.lit(True))
     return (

@@ -75,20 +75,20 @@ def _fetch_and_parse(
     found = batch.join(fetches.select("url", *_FETCH_FIELDS), "url")
     records = materialize(parse_pages(classify_fetch(found, strict_status)), "found")
     counts = records.agg(
-        F.count("*").alias("n"), F.count_if(F.col("error").isNull()).alias("ok")
+        F.count("*").alias("n"),
+        F.count_if(F.col("error").isNull()).alias("ok"),
+        F.count_distinct("url").alias("urls"),
     ).first()
-    n = counts["n"]
-    if n < size:
+    if counts["n"] != counts["urls"]:
+        raise ValueError(
+            "several responses for one URL; reduce them with collapse_attempts first"
+        )
+    if counts["n"] < size:
         missed = batch.join(records.select("url"), "url", "left_anti").withColumn(
             "error", F.lit(NOT_CAPTURED_ERROR)
         )
         failed = materialize(with_defaults(missed, "key", "seq"), "missed")
-        n += failed.count()
         records = records.unionByName(failed)
-    if n != size:
-        raise ValueError(
-            "several responses for one URL; reduce them with collapse_attempts first"
-        )
     return records, counts["ok"]
 
 

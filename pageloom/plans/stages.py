@@ -85,13 +85,12 @@ def with_row_index(
     saved = materialize(spread, "sorted")
     part = F.shiftright("_id", 33)
     sizes = saved.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()
-    offsets, total = {}, 0
-    for row in sorted(sizes):
-        offsets[row["part"]] = total
-        total += row["n"]
-    table = F.from_json(
-        F.lit(json.dumps({str(k): v for k, v in offsets.items()})), "map<string,bigint>"
-    )
-    offset = F.try_element_at(table, part.cast("string"))
+    counts = {row["part"]: row["n"] for row in sizes}
+    offsets, total = [], 0
+    for number in range(max(counts, default=-1) + 1):
+        offsets.append(total)
+        total += counts.get(number, 0)
+    table = F.from_json(F.lit(json.dumps(offsets)), "array<bigint>")
+    offset = F.get(table, part.cast("int"))
     index = offset + F.col("_id").bitwiseAND(F.lit(2**33 - 1))
     return saved.withColumn(name, index).drop("_id"), total

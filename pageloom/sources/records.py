@@ -26,9 +26,10 @@ def read_crawl_json(spark: SparkSession, path: str) -> DataFrame:
     """Records of a one-document export ``{run_id, exported_at, page_count, pages}``.
 
     ``seq`` is the position in the list. One document is one task, by nature of the
-    format; ``read_record_lines`` reads the splittable form.
+    format; ``read_record_lines`` reads the splittable form. A damaged document, or one
+    in several parts that were not joined, is an error.
     """
-    document = spark.read.schema(_ENVELOPE).option("multiLine", True).json(path)
+    document = spark.read.schema(_ENVELOPE).options(multiLine=True, mode="FAILFAST").json(path)
     pages = document.select(F.posexplode("pages").alias("pos", "page"))
     return _checked(pages.select(F.col("pos").cast("bigint").alias("seq"), "page.*"))
 

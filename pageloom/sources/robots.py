@@ -11,7 +11,10 @@ def read_robots(spark: SparkSession, path: str) -> DataFrame:
 
 
 def one_per_host(robots: DataFrame) -> DataFrame:
-    """Key by lower-cased host, scheme ignored; of copies the smallest row is kept."""
+    """Key by lower-cased host, scheme ignored; of copies the smallest is kept.
+
+    A copy that got an answer counts before one that did not (null status).
+    """
     return robots.groupBy(F.lower("netloc").alias("netloc")).agg(
-        F.min(F.struct("http_status", "body")).alias("answer")
-    ).select("netloc", "answer.*")
+        F.min(F.struct(F.col("http_status").isNull().alias("silent"), "http_status", "body")).alias("answer")
+    ).select("netloc", "answer.http_status", "answer.body")

@@ -200,3 +200,19 @@ def test_bucketed_responses_do_not_move(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_duplicate_capture_is_an_error_even_with_a_miss(spark):
+    import pytest
+
+    from pageloom.plans.crawl import crawl
+
+    url = "https://site.example/"
+    start = spark.createDataFrame([(url + "a", 0), (url + "b", 1)], "url string, seq long")
+    row = (url + "a", 200, "text/html", "<p>x</p>", "", None)
+    fetches = spark.createDataFrame(
+        [row, row],
+        "url string, status_code int, content_type string, body string, fetched_at string, error string",
+    )
+    with pytest.raises(ValueError, match="several responses"):
+        crawl(start, fetches, max_depth=1, max_pages=5).records.collect()

@@ -1,6 +1,5 @@
 """Queue tests, link edges and sources of a traversal."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from pageloom.operators import frontier, robots
@@ -11,10 +10,7 @@ from pageloom.sources.robots import read_robots
 ROBOTS = "netloc string, http_status int, body string"
 
 
-@pytest.mark.parametrize("literal", [True, False])
-def test_reasons_in_order(spark, monkeypatch, literal):
-    if not literal:
-        monkeypatch.setattr(frontier, "LITERAL_ROOTS", 0)
+def test_reasons_in_order(spark):
     cases = {
         "mailto:a@b": "scheme",
         "ftp://example.com/x": "scheme",
@@ -74,3 +70,12 @@ def test_stored_inputs(spark, tmp_path):
     pages = spark.createDataFrame([(7, "https://h/", "<p>")], "page_id bigint, url string, html string")
     row = fetches_from_pages(pages).first()
     assert (row["seq"], row["status_code"], row["content_type"], row["body"]) == (7, 200, "text/html", "<p>")
+
+
+def test_null_root_does_not_let_other_hosts_in(spark):
+    from pageloom.operators import frontier
+
+    found = spark.createDataFrame([("https://b.example/x",), ("https://a.example/x",)], "url string")
+    roots = spark.createDataFrame([("a.example",), (None,)], "root string")
+    got = {r.url: r._inside for r in frontier._domain_test(found, roots).collect()}
+    assert got == {"https://b.example/x": False, "https://a.example/x": True}

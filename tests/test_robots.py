@@ -126,3 +126,11 @@ def test_verdict_join_keeps_every_url_once(spark, broadcast):
         assert len(got) == 50 and not any(r["allowed"] for r in got)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_an_answered_copy_beats_an_unreachable_one(spark):
+    from pageloom.sources.robots import one_per_host
+
+    copies = [("A.example", None, None), ("a.example", 200, "User-agent: *\nDisallow: /")]
+    rows = spark.createDataFrame(copies, "netloc string, http_status int, body string")
+    assert [tuple(r)[1] for r in one_per_host(rows).collect()] == [200]
