@@ -74,18 +74,34 @@ def pieces(path: str) -> Pieces:
 
 
 def letter_words(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
-    """Lower-case runs of letters, at most ``WORD_LETTERS`` each, and their rows."""
-    plain = pc.replace_substring_regex(pc.utf8_lower(texts), r"\PL+", " ")
+    """Lower-case runs of letters, at most ``WORD_LETTERS`` each, and their rows.
+
+    No run crosses ASCII white space, so letters are looked for once in every different
+    piece between it and not in every text.
+    """
+    lists = pc.ascii_split_whitespace(texts)
+    chunk_row = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)
+    chunks = pc.list_flatten(lists).dictionary_encode()
+    chunk = chunks.indices.to_numpy(zero_copy_only=False)
+    plain = pc.replace_substring_regex(pc.utf8_lower(chunks.dictionary), r"\PL+", " ")
     long_run = r"(\pL{" + str(WORD_LETTERS) + "})"
     if pc.any(pc.match_substring_regex(plain, long_run)).as_py():
         plain = pc.replace_substring_regex(plain, long_run, r"\1 ")
     lists = pc.ascii_split_whitespace(plain)
     words = pc.list_flatten(lists)
-    row = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)
+    owner = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)
     filled = pc.greater(pc.binary_length(words), 0)
     if not pc.all(filled).as_py():
-        words, row = words.filter(filled), row[filled.to_numpy(zero_copy_only=False)]
-    return words.dictionary_encode(), row
+        words, owner = words.filter(filled), owner[filled.to_numpy(zero_copy_only=False)]
+    coded = words.dictionary_encode()
+    # The words of each different piece stand together; every use of it has them all.
+    number = np.bincount(owner, minlength=len(plain))
+    first = np.cumsum(number) - number
+    uses = number[chunk]
+    start = np.cumsum(uses) - uses
+    at = np.arange(int(uses.sum())) + np.repeat(first[chunk] - start, uses)
+    indices = coded.indices.to_numpy(zero_copy_only=False)[at]
+    return pa.DictionaryArray.from_arrays(pa.array(indices), coded.dictionary), np.repeat(chunk_row, uses)
 
 
 def _by_length(words: pa.Array):
