@@ -84,9 +84,10 @@ def letter_words(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     chunks = pc.list_flatten(lists).dictionary_encode()
     chunk = chunks.indices.to_numpy(zero_copy_only=False)
     plain = pc.replace_substring_regex(pc.utf8_lower(chunks.dictionary), r"\PL+", " ")
-    long_run = r"(\pL{" + str(WORD_LETTERS) + "})"
-    if pc.any(pc.match_substring_regex(plain, long_run)).as_py():
-        plain = pc.replace_substring_regex(plain, long_run, r"\1 ")
+    long = pc.greater_equal(pc.utf8_length(plain), WORD_LETTERS)
+    if pc.any(long).as_py():
+        cut = pc.replace_substring_regex(plain.filter(long), r"(\pL{" + str(WORD_LETTERS) + "})", r"\1 ")
+        plain = pc.replace_with_mask(plain, long, cut)
     lists = pc.ascii_split_whitespace(plain)
     words = pc.list_flatten(lists)
     owner = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)
