@@ -10,7 +10,7 @@ from .common import hashed_words, mixed, rows_of
 from .stages import ship_package, stored
 
 # Text of the documents that one task counts and scores together.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 5 << 20
 # Grams whose counts one task adds up.
 PART_GRAMS = 2_000_000
 # Contexts fall in buckets by the binary logarithm of their frequency.
