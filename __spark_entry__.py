@@ -517,8 +517,8 @@ def json_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return _wide(page_metrics(record_io.read_record_lines(spark, path)))
 
 
-def document_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    """All records exported in every format; the sitemap's locations read back."""
+def sitemap_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """All records written as sitemaps; their locations read back."""
     path = _scratch(spark, "sitemap")
     exports.write_sitemap(_captured(spark, folder), path)
     return (
@@ -576,7 +576,7 @@ def queries() -> dict[str, Query]:
         fetch_collapse, fetch_classes, fetch_outcomes, failed_pages, failed_page_count,
         host_delays, robots_rule_rows, robots_verdicts, robots_delays,
         sitemap_entries, csv_export_rows,
-        json_round_trip, document_round_trip, csv_round_trip, table_round_trip,
+        json_round_trip, sitemap_round_trip, csv_round_trip, table_round_trip,
     ]
     registered = {query.__name__: query for query in plain}
     registered["fetch_collapse_lenient"] = partial(fetch_collapse, strict=False)

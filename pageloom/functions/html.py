@@ -63,7 +63,12 @@ _ANY_TAG = rf"{OPEN}{_REST}"
 
 
 def mark_tags(body: Column) -> Column:
-    """Markup with tags in brackets; comments, scripts and styles become empty tags."""
+    """Markup with tags in brackets; comments, scripts and styles become empty tags.
+
+    The noncharacters used as marks are taken out of the body first.
+    """
+    for mark in (OPEN, CLOSE, BORDER):
+        body = F.replace(body, F.lit(mark), F.lit(""))
     return F.regexp_replace(body, _TOKEN, f"{OPEN}$1{CLOSE}")
 
 

@@ -60,8 +60,9 @@ def keyword_search_batch(
     Single words only (letters, digits, underscore); anything else raises an error when
     the query runs. One pass over the texts serves all keywords. A keyword table of
     counted, bounded size is broadcast, so only matching words are shuffled; a larger
-    one meets the words after they are counted per record, spread over salted keys. The
-    rank limit is applied to parts of a word's records before they come together.
+    one meets the words after they are counted per record, spread over salted keys. In
+    either case the rank limit is applied to parts of a word's records before they come
+    together, whatever ``limit`` is.
     ``keyword, rank, seq, url, title, score, snippet``.
     """
     _check_limit(limit)
@@ -82,15 +83,15 @@ def keyword_search_batch(
     if small:
         words = words.join(F.broadcast(wanted.distinct()), "keyword")
     scores = words.groupBy("keyword", "seq").agg(F.count("*").alias("score"))
+    # A word in every record would gather all of them in one task, in the join and in the
+    # ranking; both work on parts of its records first.
+    scores = scores.withColumn("part", F.pmod(F.hash("seq"), F.lit(SALTS)))
     if not small:
-        # A word in every record would gather all of them in one task, in the join and
-        # in the ranking; both work on parts of its records first.
-        part = F.pmod(F.hash("seq"), F.lit(SALTS))
         parts = wanted.select(
             "keyword", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("part")
         ).distinct()
-        scores = scores.withColumn("part", part).join(parts, ["keyword", "part"])
-        scores = _top_by_keyword(scores, limit, "keyword", "part")
+        scores = scores.join(parts, ["keyword", "part"])
+    scores = _top_by_keyword(scores, limit, "keyword", "part").drop("rank")
     best = _top_by_keyword(scores, limit, "keyword")
     # At most (keywords x limit) rows fetch their texts in a second scan.
     found = texts.join(F.broadcast(best) if small else best, "seq")

@@ -43,9 +43,9 @@ class Crawl:
 
 def check_arguments(max_depth: int, max_pages: int, mode: str) -> None:
     if max_depth < 0:
-        raise ValueError("max_depth must be >= 0")
+        raise ValueError(f"no level to visit: max_depth is {max_depth}")
     if max_pages <= 0:
-        raise ValueError("max_pages must be > 0")
+        raise ValueError(f"no page to visit: max_pages is {max_pages}")
     if mode not in ("fifo", "level"):
         raise ValueError("mode must be 'fifo' or 'level'")
 
@@ -161,12 +161,14 @@ def _crawl_fifo(
         allowed = robots_allowed(frontier, policy).filter("allowed")
         frontier, size = with_row_index(allowed.select("url", "key"), "key", name="place")
         level: list[DataFrame] = []
-        start = 0
-        # One round if the level fits the budget; else prefixes until it is filled.
+        start, spare = 0, _SPARE_ROWS
+        # One round if the level fits the budget; else prefixes until it is filled, each
+        # longer than the one before, so that failures cost few rounds.
         while start < size and open_pages > 0:
             stop = size
             if size - start > open_pages:
-                stop = min(size, start + 2 * open_pages + _SPARE_ROWS)
+                stop = min(size, start + 2 * open_pages + spare)
+                spare = 2 * (stop - start)
             batch = frontier.filter(F.col("place").between(start, stop - 1)).select(
                 "url",
                 "key",
