@@ -55,6 +55,12 @@ OTHERS = [
     "The software was used by the general public under pressure.",
     "All of the files were modified and met the terms.",
 ]
+# Function words. A gram of these alone is no feature.
+STOP_WORDS = [
+    "a", "all", "and", "any", "are", "as", "be", "by", "can", "either", "except", "for",
+    "in", "is", "it", "later", "may", "no", "not", "of", "on", "or", "that", "the",
+    "this", "to", "under", "was", "were", "with", "without", "you",
+]
 _WORD = "[0-9a-z]+"
 # Softmax share below which a paragraph's family is unknown, set so that OTHERS stay out.
 LEAST_SHARE = 0.5
@@ -64,7 +70,8 @@ LEAST_OVERLAP = 0.5
 
 def _features(text: str) -> list[str]:
     words = re.findall(_WORD, text.lower())
-    return sorted({*words, *(f"{a} {b}" for a, b in zip(words, words[1:]))})
+    grams = {*words, *(f"{a} {b}" for a, b in zip(words, words[1:]))}
+    return sorted(g for g in grams if not set(g.split()) <= set(STOP_WORDS))
 
 
 def train(rounds: int = 400, rate: float = 0.5, decay: float = 1e-3) -> tuple[list[str], dict[str, np.ndarray], np.ndarray]:
@@ -96,11 +103,12 @@ def train(rounds: int = 400, rate: float = 0.5, decay: float = 1e-3) -> tuple[li
 def license_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Paragraphs (lines) that the classifier gives to a licence family.
 
-    Native expressions only. Lines with none of the words that tell families apart are
-    unknown at once, in the scan. The others' word 1- and 2-grams meet the classifier's
-    weights, a table of a few hundred fixed rows; the sums per line give a softmax, and
-    a line below ``LEAST_SHARE`` is unknown and left out. ``confirmed`` says that at
-    least ``LEAST_OVERLAP`` of its bigrams stand in the family's templates.
+    Native expressions only. Every feature holds a word of the templates that is no
+    function word; lines with none of those words have no feature, are unknown and end in
+    the scan. The others' word 1- and 2-grams meet the classifier's weights, a table of a
+    few hundred fixed rows; the sums per line give a softmax, and a line below
+    ``LEAST_SHARE`` is unknown and left out. ``confirmed`` says that at least
+    ``LEAST_OVERLAP`` of its bigrams stand in the family's templates.
 
     Returns ``doc_id``, ``line`` (number in the text), ``family``, ``share``,
     ``confirmed``. Null and empty texts have no lines; null ids and repeated rows keep
@@ -108,21 +116,21 @@ def license_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     """
     spark = docs.sparkSession
     classes, weights, bias = train()
-    # Words whose own weight for some family is clearly above that for unknown.
-    cues = sorted(
-        g for g, w in weights.items() if " " not in g and (w[:-1].max() - w[-1]) > 0.15
-    )
+    # A line scores more for a family than for unknown only by a feature that does, so it
+    # holds a word of such a feature.
+    lifting = (g for g, w in weights.items() if w[:-1].max() > w[-1])
+    cues = sorted({word for g in lifting for word in g.split()} - set(STOP_WORDS))
     table = [
         (g, [float(v) for v in w], [c for c in TEMPLATES if any(g in _features(t) for t in TEMPLATES[c])])
         for g, w in weights.items()
     ]
     table = spark.createDataFrame(table, "gram string, weights array<double>, families array<string>")
     plain = rows_of(docs, id_col, text_col).toDF("doc_id", "text").filter("text IS NOT NULL")
-    pattern = r"(?i)\b(?:" + "|".join(cues) + r")\b"
-    lines = plain.filter(F.col("text").rlike(pattern)).select(
+    pattern = "(?<![0-9a-z])(?:" + "|".join(cues) + ")(?![0-9a-z])"
+    lines = plain.filter(F.lower("text").rlike(pattern)).select(
         F.monotonically_increasing_id().alias("rid"), "doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text")
     )
-    lines = lines.filter(F.col("text").rlike(pattern))
+    lines = lines.filter(F.lower("text").rlike(pattern))
     words = F.regexp_extract_all(F.lower("text"), F.lit(_WORD), F.lit(0))
     lines = lines.select("rid", "doc_id", F.col("line").cast("long").alias("line"), words.alias("words"))
     pairs = F.expr("transform(sequence(1, greatest(size(words) - 1, 1)), i -> concat_ws(' ', get(words, i - 1), get(words, i)))")
