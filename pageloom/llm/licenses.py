@@ -126,16 +126,19 @@ def license_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     ]
     table = spark.createDataFrame(table, "gram string, weights array<double>, families array<string>")
     plain = rows_of(docs, id_col, text_col).toDF("doc_id", "text").filter("text IS NOT NULL")
-    pattern = "(?<![0-9a-z])(?:" + "|".join(cues) + ")(?![0-9a-z])"
-    lines = plain.filter(F.lower("text").rlike(pattern)).select(
+    # The class of first letters only spares the attempts of all words.
+    first = "".join(sorted({word[0] for word in cues}))
+    pattern = f"(?<![0-9a-z])(?=[{first}])(?:{'|'.join(cues)})(?![0-9a-z])"
+    lines = plain.select(
         F.monotonically_increasing_id().alias("rid"), "doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text")
     )
     lines = lines.filter(F.lower("text").rlike(pattern))
     words = F.regexp_extract_all(F.lower("text"), F.lit(_WORD), F.lit(0))
     lines = lines.select("rid", "doc_id", F.col("line").cast("long").alias("line"), words.alias("words"))
-    pairs = F.expr("transform(sequence(1, greatest(size(words) - 1, 1)), i -> concat_ws(' ', get(words, i - 1), get(words, i)))")
-    pairs = F.when(F.size("words") > 1, pairs).otherwise(F.array().cast("array<string>"))
-    lines = lines.withColumn("pairs", F.array_distinct(pairs))
+    # The last word has no partner: its pair is null.
+    following = F.slice("words", F.lit(2), F.size("words"))
+    pairs = F.zip_with("words", following, lambda a, b: F.concat(a, F.lit(" "), b))
+    lines = lines.withColumn("pairs", F.array_distinct(F.array_compact(pairs)))
     grams = lines.withColumn("all", F.array_distinct(F.concat("words", "pairs")))
     rows = grams.select(
         "rid", "doc_id", "line", F.size("all").alias("n"), F.size("pairs").alias("m"), F.explode("all").alias("gram")
