@@ -135,11 +135,15 @@ def license_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     lines = lines.filter(F.lower("text").rlike(pattern))
     words = F.regexp_extract_all(F.lower("text"), F.lit(_WORD), F.lit(0))
     lines = lines.select("rid", "doc_id", F.col("line").cast("long").alias("line"), words.alias("words"))
-    # The last word has no partner: its pair is null.
+    # As in training, grams of function words alone do not count. The last word has no
+    # partner: its pair is null and goes too.
+    stop = "|".join(STOP_WORDS)
     following = F.slice("words", F.lit(2), F.size("words"))
     pairs = F.zip_with("words", following, lambda a, b: F.concat(a, F.lit(" "), b))
-    lines = lines.withColumn("pairs", F.array_distinct(F.array_compact(pairs)))
-    grams = lines.withColumn("all", F.array_distinct(F.concat("words", "pairs")))
+    pairs = F.filter(pairs, lambda pair: ~pair.rlike(f"^(?:{stop}) (?:{stop})$"))
+    lines = lines.withColumn("pairs", F.array_distinct(pairs))
+    single = F.array_except("words", F.array(*map(F.lit, STOP_WORDS)))
+    grams = lines.withColumn("all", F.concat(single, "pairs"))
     rows = grams.select(
         "rid", "doc_id", "line", F.size("all").alias("n"), F.size("pairs").alias("m"), F.explode("all").alias("gram")
     ).join(F.broadcast(table), "gram")
