@@ -54,6 +54,10 @@ OTHERS = [
     "A copy of the work was released in the first version.",
     "The software was used by the general public under pressure.",
     "All of the files were modified and met the terms.",
+    "Sie fuhr mit dem Zug und kam mit dem Bus.",
+    "Er sprach mit der Frau und ging mit dem Hund nach Hause.",
+    "Das Haus mit dem Garten steht am See.",
+    "Mit Wasser und Brot kamen sie durch den Winter.",
 ]
 # Function words. A gram of these alone is no feature.
 STOP_WORDS = [
@@ -77,7 +81,7 @@ def _features(text: str) -> list[str]:
 def train(rounds: int = 400, rate: float = 0.5, decay: float = 1e-3) -> tuple[list[str], dict[str, np.ndarray], np.ndarray]:
     """Multinomial logistic regression on word 1- and 2-grams of the fixed templates.
 
-    The sample is the constants above, about thirty rows: this is the bound. Returns the
+    The sample is the constants above, about thirty-five rows: this is the bound. Returns the
     classes (unknown last), weights by gram and the biases.
     """
     classes = [*TEMPLATES, UNKNOWN]
