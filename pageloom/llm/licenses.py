@@ -81,7 +81,7 @@ def _features(text: str) -> list[str]:
 def train(rounds: int = 400, rate: float = 0.5, decay: float = 1e-3) -> tuple[list[str], dict[str, np.ndarray], np.ndarray]:
     """Multinomial logistic regression on word 1- and 2-grams of the fixed templates.
 
-    The sample is the constants above, about thirty-five rows: this is the bound. Returns the
+    The sample is the constants above, thirty rows: this is the bound. Returns the
     classes (unknown last), weights by gram and the biases.
     """
     classes = [*TEMPLATES, UNKNOWN]
