@@ -112,7 +112,8 @@ def license_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     the scan. The others' word 1- and 2-grams meet the classifier's weights, a table of a
     few hundred fixed rows; the sums per line give a softmax, and a line below
     ``LEAST_SHARE`` is unknown and left out. ``confirmed`` says that at least
-    ``LEAST_OVERLAP`` of its bigrams stand in the family's templates.
+    ``LEAST_OVERLAP`` of its bigrams stand in the family's templates;
+    a line without bigrams is never confirmed.
 
     Returns ``doc_id``, ``line`` (number in the text), ``family``, ``share``,
     ``confirmed``. Null and empty texts have no lines; null ids and repeated rows keep
@@ -158,7 +159,7 @@ def license_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     total = reduce(lambda a, b: a + b, odds)
     options = F.array(
         *(
-            F.struct((odds[i] / total).alias("share"), F.lit(c).alias("family"), (F.col(f"h{i}") >= LEAST_OVERLAP * F.col("m")).alias("confirmed"))
+            F.struct((odds[i] / total).alias("share"), F.lit(c).alias("family"), ((F.col("m") > 0) & (F.col(f"h{i}") >= LEAST_OVERLAP * F.col("m"))).alias("confirmed"))
             for i, c in enumerate(TEMPLATES)
         )
     )

@@ -244,3 +244,10 @@ def test_empty_tables(spark, docs):
         decontamination.benchmark_matches(docs, spark.createDataFrame([], "item_id long, text string")),
     ]
     assert [r.count() for r in results] == [0] * len(results)
+
+
+def test_license_rows_that_decide_nothing(spark):
+    texts = [(1, None), (2, ""), (3, "in this is by that, all of the"), (4, "License"), (5, "a\nSPDX-License-Identifier: MIT"), (5, "a\nSPDX-License-Identifier: MIT")]
+    rows = spark.createDataFrame(texts, "doc_id long, text string").withColumn("line", F.lit("x"))
+    got = [tuple(r) for r in licenses.license_paragraphs(rows).filter("confirmed").select("doc_id", "line", "family").collect()]
+    assert got == [(5, 1, "mit")] * 2
