@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -28,14 +29,31 @@ class TokenRollup:
     earlier batches hold for a delete, both for a revision. Totals are sums of rows, so
     batches can be added up in any order. A batch's rows follow from its changes and the
     batches with smaller numbers alone, and committing overwrites its folder: a batch
-    that is committed again, or after a failure, counts once.
+    that is committed again, or after a failure, counts once. Which batches are committed
+    is read from the folder each time (those with a ``_SUCCESS`` file, which is written
+    last), so a rollup opened on it later goes on where the earlier ones stopped.
     """
 
     SCHEMA = "doc_id long, source string, lang string, tokenizer string, docs long, tokens long"
 
     def __init__(self, spark: SparkSession, folder: str, tokenizers: dict[str, Callable[[Column], Column]]):
         self.spark, self.folder, self.tokenizers = spark, folder.rstrip("/"), tokenizers
-        self.committed: set[int] = set()
+
+    def _committed(self) -> list[int]:
+        """Numbers of the batches whose writing has ended, in order."""
+        context = self.spark.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(self.folder)
+        files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+        if not files.exists(folder):
+            return []
+        batches = (status.getPath() for status in files.listStatus(folder))
+        ended = (
+            int(found[1])
+            for batch in batches
+            if (found := re.fullmatch(r"batch-(-?\d{11,})", batch.getName()))
+            and files.exists(batch.suffix("/_SUCCESS"))
+        )
+        return sorted(ended)
 
     def _rows(self, batches: list[int]) -> DataFrame:
         if not batches:
@@ -62,17 +80,18 @@ class TokenRollup:
         added = rows.filter("kind IN ('insert', 'revise')").select("doc_id", "source", "lang", F.inline(counts))
         added = added.select("doc_id", *KEYS, F.lit(1).cast("long").alias("docs"), "tokens")
         gone = rows.filter("kind IN ('delete', 'revise')").select("doc_id").distinct()
-        earlier = self._rows(sorted(n for n in self.committed if n < number))
+        earlier = self._rows([n for n in self._committed() if n < number])
         taken = earlier.join(gone, "doc_id").groupBy("doc_id", *KEYS).agg(
             (-F.sum("docs")).alias("docs"), (-F.sum("tokens")).alias("tokens")
         )
         taken = taken.filter("docs <> 0 OR tokens <> 0").select("doc_id", *KEYS, "docs", "tokens")
-        added.union(taken).write.mode("overwrite").parquet(f"{self.folder}/batch-{number:012d}")
-        self.committed.add(number)
+        # Said here, as a session may have turned the file off.
+        write = added.union(taken).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+        write.mode("overwrite").parquet(f"{self.folder}/batch-{number:012d}")
 
     def totals(self) -> DataFrame:
         """``source, lang, tokenizer, docs, tokens`` over all committed batches."""
-        sums = self._rows(sorted(self.committed)).groupBy(*KEYS).agg(
+        sums = self._rows(self._committed()).groupBy(*KEYS).agg(
             F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")
         )
         return sums.filter("docs <> 0 OR tokens <> 0")

@@ -113,6 +113,33 @@ def test_rollup_batches_count_once(spark, docs, tmp_path):
     assert tuple(total) == (30, sum(2 if i == 20 else len(t.split()) for i, t in texts))
 
 
+def test_rollup_goes_on_from_its_folder(spark, docs, tmp_path):
+    def opened():
+        return token_counts.TokenRollup(spark, str(tmp_path / "rollup"), {"words-1": token_counts.word_count})
+
+    def sums():
+        return tuple(opened().totals().agg(F.sum("docs"), F.sum("tokens")).first())
+
+    assert opened().totals().count() == 0
+    rows = docs.filter("doc_id < 40")
+    spark.conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        opened().commit(1, rows.withColumn("kind", F.lit("insert")))
+    finally:
+        spark.conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    for _ in range(2):
+        opened().commit(2, rows.filter("doc_id < 10").withColumn("kind", F.lit("delete")))
+    opened().commit(3, rows.filter("doc_id = 20").withColumns({"kind": F.lit("revise"), "text": F.lit("a b")}))
+    texts = [(i, t) for i, t in _documents()[0] if i is not None and 10 <= i < 40]
+    whole = (30, sum(2 if i == 20 else len(t.split()) for i, t in texts))
+    assert sums() == whole
+    # A batch whose writing broke off does not count until it is committed again.
+    (tmp_path / "rollup" / "batch-000000000003" / "_SUCCESS").unlink()
+    assert sums() == (30, sum(len(t.split()) for _, t in texts))
+    opened().commit(3, rows.filter("doc_id = 20").withColumns({"kind": F.lit("revise"), "text": F.lit("a b")}))
+    assert sums() == whole
+
+
 def test_quality_measurements(docs):
     got = quality.apply_policy(quality.rule_ledger(docs), 2)
     rows = {r.doc_id: r for r in got.collect()}
