@@ -278,3 +278,38 @@ def test_license_rows_that_decide_nothing(spark):
     rows = spark.createDataFrame(texts, "doc_id long, text string").withColumn("line", F.lit("x"))
     got = [tuple(r) for r in licenses.license_paragraphs(rows).filter("confirmed").select("doc_id", "line", "family").collect()]
     assert got == [(5, 1, "mit")] * 2
+
+
+def test_license_neighbours_are_not_confirmed(spark):
+    families = {
+        "apache-2.0": "Licensed under the Apache License, Version 2.0.",
+        "mit": "Released under the MIT License.",
+        "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.",
+        "bsd-3-clause": "Released under the BSD 3-Clause License.",
+        "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
+        "proprietary": "All rights reserved.",
+    }
+    others = [
+        "This work is licensed under the GNU General Public License, version 2.",
+        "Licensed under the GNU Lesser General Public License, version 3.",
+        "Licensed under CC BY 4.0.",
+        "Licensed under CC BY-NC-SA 4.0.",
+        "Released under the BSD 2-Clause License.",
+        "Licensed under the Apache License, Version 1.1.",
+        "SPDX-License-Identifier: MIT-0",
+    ]
+    rows = spark.createDataFrame([(1, "\n".join([*families.values(), *others]))], "doc_id long, text string")
+    found = licenses.license_paragraphs(rows).filter("confirmed").collect()
+    assert [(r.line, r.family) for r in sorted(found)] == list(enumerate(families))
+
+
+def test_license_classes_are_calibrated(spark):
+    _, _, bias, least = licenses.train()
+    assert 0.5 <= least < 1 and bias[-1] == bias.max() and len(set(bias[:-1])) > 1
+    trained = {*sum(licenses.TEMPLATES.values(), []), *sum(licenses.WORDINGS.values(), [])}
+    trained |= {*licenses.OTHERS, *licenses.OTHER_LICENSES}
+    held = [(c, t) for c, texts in licenses.HELD_OUT.items() for t in texts]
+    assert not trained & {t for _, t in held}
+    rows = spark.createDataFrame(list(enumerate(t for _, t in held)), "doc_id long, text string")
+    found = {r.doc_id: r.family for r in licenses.license_paragraphs(rows).collect()}
+    assert [found.get(i, licenses.UNKNOWN) for i in range(len(held))] == [c for c, _ in held]
