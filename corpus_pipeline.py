@@ -35,15 +35,19 @@ def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep of every component the document with the smallest id, once.
 
-    Rows with a null id cannot be named by the components and stay.
+    Rows are told apart by a 64-bit hash of id and text, so different texts of one id are
+    documents of their own and rows with a null id take part; a null id counts as the
+    largest. Of rows that are equal in both, one stays.
     """
-    found = ngram_join.similar_components(docs)
-    first = found.filter("doc_id = component_id").select("doc_id").distinct()
-    rows = docs.select(*COLUMNS)
-    named = rows.join(stored(first, "first"), "doc_id")
-    once = F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))
-    named = named.withColumn("n", once).filter("n = 1").select(*COLUMNS)
-    return named.union(rows.filter("doc_id IS NULL"))
+    rows = docs.select(*COLUMNS, F.xxhash64("doc_id", "text").alias("uid"))
+    found = ngram_join.similar_components(rows, id_col="uid")
+    found = found.select(F.col("doc_id").alias("uid"), "component_id").distinct()
+    keys = rows.select("uid", "doc_id").distinct().join(found, "uid")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid")).getField("uid")
+    kept = keys.groupBy("component_id").agg(first.alias("uid")).select("uid")
+    once = F.row_number().over(Window.partitionBy("uid").orderBy("lang", "source"))
+    named = rows.join(stored(kept, "first"), "uid")
+    return named.withColumn("n", once).filter("n = 1").select(*COLUMNS)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

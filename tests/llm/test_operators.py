@@ -189,6 +189,19 @@ def test_ngram_join_equals_brute_force(docs, monkeypatch):
         assert got == expected
 
 
+def test_pipeline_keeps_one_row_of_each_component(spark):
+    import corpus_pipeline
+
+    rng = random.Random(11)
+    a, b, c, d, e = (_prose(rng, 60) for _ in range(5))
+    near = a + " more"
+    rows = [(1, a), (2, near), (3, b), (3, c), (4, b), (None, d), (None, d), (None, c + " more"), (5, d), (None, e), (None, e), (6, ""), (6, ""), (7, a), (7, b), (8, None)]
+    table = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.without_near_duplicates(spark, table, "").collect()
+    want = [(1, a), (3, b), (3, c), (5, d), (None, e), (6, ""), (8, None)]
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter(want)
+
+
 def test_divide_skip_equals_counting():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 400, 60)
