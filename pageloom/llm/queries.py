@@ -8,19 +8,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
     decontamination,
+    fill_in_middle,
     language_id,
     licenses,
     lm_scoring,
     ngram_join,
     packing,
     pii,
+    prefix_trie,
     quality,
     sql,
     suffix_dedup,
     token_counts,
 )
 from .common import crc_bucket
-from .stages import stage_folder
+from .stages import stage_folder, stored
 from .tokens import vocabulary
 
 # Of the examples only; a production key comes from a secret store.
@@ -109,11 +111,24 @@ def op10_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "text", "n_replaced", F.array_distinct("spans.kind").alias("kinds"))
 
 
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Frames are stored once; outputs are read by their digests only."""
+    store = stored(fill_in_middle.write_frames(_table(spark, folder, "documents")), "frames")
+    outputs = fill_in_middle.fill_in_middle(fill_in_middle.with_cuts(store))
+    return fill_in_middle.output_digests(outputs)
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    own = stored(prefix_trie.turn_sequences(_table(spark, folder, "conversations")), "turns")
+    return prefix_trie.prefix_trie(prefix_trie.with_shared_openings(own))
+
+
 def queries() -> dict:
     listed = [
         op1_pack_documents, op2_benchmark_matches, op3_token_rollup, op4_quality_ledger,
         op5_lm_scores, op6_license_paragraphs,
         op7_similar_components, op8_repeated_bytes, op9_language_id, op10_pseudonyms,
+        op12_fill_in_middle, op13_prefix_trie,
     ]
     return {query.__name__: query for query in listed}
 

@@ -81,6 +81,86 @@ UNION ALL
 SELECT source, lang, 'characters-1', count(*), CAST(sum(length(text)) AS BIGINT) FROM kept GROUP BY ALL
 """
 
+_UNITS = "regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]')"
+_DIGEST = "sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), ''))"
+
+
+def _number(i: int) -> str:
+    return f"CAST('0x' || substr(h, {8 * i + 1}, 8) AS BIGINT)"
+
+
+OP12 = rf"""
+WITH base AS (
+  SELECT doc_id, coalesce(text, '') AS text, {_UNITS} AS units, {_DIGEST} AS h FROM documents
+), cut AS (
+  SELECT *, CAST(len(units) AS BIGINT) AS n,
+    least({_number(0)} % (len(units) + 1), {_number(1)} % (len(units) + 1)) AS a,
+    greatest({_number(0)} % (len(units) + 1), {_number(1)} % (len(units) + 1)) AS b
+  FROM base
+), parts AS (
+  SELECT doc_id, n, text,
+    CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR {_number(2)} % 100 >= 90 THEN 'plain'
+      WHEN {_number(3)} % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+    array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+    array_to_string(units[b + 1:], '') AS suffix
+  FROM cut
+)
+SELECT doc_id, n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text
+    WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+"""
+
+# CRC-32 of a decimal number's digits, bit by bit.
+_CRC = """xor(4294967295, list_reduce(
+    list_transform(range(1, len(CAST(conv_id AS VARCHAR)) + 1), lambda i: CAST(ascii(substr(CAST(conv_id AS VARCHAR), i, 1)) AS BIGINT)),
+    lambda c, y: list_reduce(range(8), lambda x, k: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END), xor(c, y)),
+    CAST(4294967295 AS BIGINT)))"""
+
+OP13 = rf"""
+WITH named AS (
+  SELECT conv_id, turn, length(coalesce(text, '')) AS chars,
+    sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS name
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list({{'name': name, 'chars': chars}} ORDER BY turn NULLS FIRST) AS turns
+  FROM named GROUP BY conv_id
+), rebuilt AS (
+  SELECT o.conv_id, list_concat(coalesce(b.turns, [])[1:h], o.turns[h + 1:]) AS turns
+  FROM (SELECT *, {_CRC} % 6 AS h FROM own) o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 100
+), paths AS (
+  SELECT conv_id, d, len(turns) AS size, coalesce(turns[d].chars, 0) AS chars,
+    array_to_string(list_transform(turns[1:d], lambda x: x.name), ',') AS key,
+    array_to_string(list_transform(turns[1:d - 1], lambda x: x.name), ',') AS up
+  FROM (SELECT *, unnest(range(len(turns) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT key, d, min(conv_id) AS conv_id, count(*) AS n_convs, min(up) AS up, min(chars) AS chars,
+    coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (size = d), '') AS ends
+  FROM paths GROUP BY key, d
+), children AS (
+  SELECT up, count(*) AS n FROM nodes WHERE d > 0 GROUP BY up
+), full_nodes AS (
+  SELECT x.*, coalesce(c.n, 0) AS n_children FROM nodes x LEFT JOIN children c ON c.up = x.key
+), sums AS (
+  SELECT p.key, count(*) FILTER (x.n_children = 0) AS n_leaves,
+    CAST(sum((x.n_convs - 1) * x.chars) AS BIGINT) AS saved_tokens
+  FROM full_nodes x JOIN paths p ON p.conv_id = x.conv_id AND p.d <= x.d GROUP BY p.key
+)
+SELECT x.conv_id, CAST(x.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, x.n_convs, x.n_children,
+  n_leaves, saved_tokens, sha256(x.ends) AS ends_sha256
+FROM full_nodes x JOIN sums USING (key) LEFT JOIN nodes u ON u.key = x.up AND u.d = x.d - 1
+"""
+
 
 def all_queries() -> dict[str, str]:
-    return {"op3_token_rollup": OP3, "op4_quality_ledger": OP4, "op7_similar_components": OP7}
+    return {
+        "op3_token_rollup": OP3,
+        "op4_quality_ledger": OP4,
+        "op7_similar_components": OP7,
+        "op12_fill_in_middle": OP12,
+        "op13_prefix_trie": OP13,
+    }
