@@ -163,11 +163,7 @@ def _burst(
     opens a container. As equal sequences are one row, this always splits. Rows of
     containers that stay are not moved again.
     """
-    start = F.lit("").alias("head"), F.lit(None).cast("string").alias("above"), F.lit(0).alias("at")
-    pending = sequences.select(
-        *start, F.array().cast("array<string>").alias("heads"), "seq", "conv_id", "n", "ends_sha256"
-    )
-    ready, bursts, ends = [], [], []
+    pending, ready, bursts, ends = sequences, [], [], []
     while True:
         sizes = pending.groupBy("head").agg(
             F.count("*").alias("rows"),
@@ -408,7 +404,12 @@ def prefix_trie(
     rows = stored(sequences.select("conv_id", seq.alias("seq")), "trie-sequences")
     distinct = rows.groupBy("seq").agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n"))
     ends = _lists(rows.select(F.sha2("seq", 256).alias("key"), "conv_id"))
-    distinct = stored(distinct.join(ends, "conv_id"), "trie-distinct")
+    # All begin in one container, under the root. Its name is stored, so that it is a join
+    # key as any other.
+    start = F.lit("").alias("head"), F.lit(None).cast("string").alias("above"), F.lit(0).alias("at")
+    root = *start, F.array().cast("array<string>").alias("heads")
+    distinct = distinct.join(ends, "conv_id").select(*root, "seq", "conv_id", "n", "ends_sha256")
+    distinct = stored(distinct, "trie-distinct")
     ready, heads, ended = _burst(distinct, container_rows, container_bytes)
     names = [part.split()[0] for part in _NODE.split(", ")]
     swept = stored(_swept(ready), "trie-swept")

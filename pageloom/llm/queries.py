@@ -14,6 +14,7 @@ from . import (
     lm_scoring,
     ngram_join,
     packing,
+    page_template,
     pii,
     prefix_trie,
     quality,
@@ -111,6 +112,10 @@ def op10_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "text", "n_replaced", F.array_distinct("spans.kind").alias("kinds"))
 
 
+def op11_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return page_template.main_text(_table(spark, folder, "pages"))
+
+
 def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     """Frames are stored once; outputs are read by their digests only."""
     store = stored(fill_in_middle.write_frames(_table(spark, folder, "documents")), "frames")
@@ -128,7 +133,7 @@ def queries() -> dict:
         op1_pack_documents, op2_benchmark_matches, op3_token_rollup, op4_quality_ledger,
         op5_lm_scores, op6_license_paragraphs,
         op7_similar_components, op8_repeated_bytes, op9_language_id, op10_pseudonyms,
-        op12_fill_in_middle, op13_prefix_trie,
+        op11_main_text, op12_fill_in_middle, op13_prefix_trie,
     ]
     return {query.__name__: query for query in listed}
 

