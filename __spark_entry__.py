@@ -417,6 +417,52 @@ def crawl_level_stats(spark: SparkSession, folder: str) -> DataFrame:
     return _tree_crawl(spark, folder, mode="level").stats
 
 
+def _gaps_crawl(spark: SparkSession, folder: str) -> Crawl:
+    """The tree with two attempts per page, and every seventh page never captured.
+
+    The first attempt at a third of the pages timed out; at every fifth page both did.
+    """
+    number = F.regexp_extract("url", "[0-9]+$", 0).cast("bigint")
+    both = _tree(spark, folder).filter(number % 7 != 6).withColumn("status_code", F.lit(200))
+    attempts = both.withColumn("attempt", F.explode(F.array(F.lit(1), F.lit(2))))
+    lost = ((F.col("attempt") == 1) & (number % 3 == 0)) | ((number % 5 == 4) & (number > 0))
+    timed_out = F.concat(F.lit("timeout "), F.col("attempt"))
+    attempts = attempts.withColumn("error", F.when(lost, timed_out))
+    collapsed = fetchlog.collapse_attempts(attempts, max_retries=2)
+    root = _table(spark, folder, "pages").agg(F.min("page_id").alias("seq"))
+    start = root.select(F.concat(F.lit("https://tree.example/p/"), "seq").alias("url"), "seq")
+    return crawl(start, collapsed, max_depth=64, max_pages=EVERYTHING)
+
+
+def crawl_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    return _visits(_gaps_crawl(spark, folder)).select("seq", "url", "depth", "error")
+
+
+def crawl_gaps_stats(spark: SparkSession, folder: str) -> DataFrame:
+    return _gaps_crawl(spark, folder).stats
+
+
+def _cut_level_crawl(spark: SparkSession, folder: str) -> Crawl:
+    """Batches that the budget cuts: failures leave some of it, so what was cut off comes later.
+
+    Every fourth page of the tree is no HTML.
+    """
+    number = F.regexp_extract("url", "[0-9]+$", 0).cast("bigint")
+    kind = F.when((number % 4 == 3), "application/pdf").otherwise("text/html")
+    mixed = _tree(spark, folder).withColumn("content_type", kind)
+    root = _table(spark, folder, "pages").agg(F.min("page_id").alias("seq"))
+    start = root.select(F.concat(F.lit("https://tree.example/p/"), "seq").alias("url"), "seq")
+    return crawl(start, mixed, max_depth=64, max_pages=30, mode="level")
+
+
+def crawl_level_budget(spark: SparkSession, folder: str) -> DataFrame:
+    return _visits(_cut_level_crawl(spark, folder)).select("seq", "url", "depth", "error")
+
+
+def crawl_level_budget_stats(spark: SparkSession, folder: str) -> DataFrame:
+    return _cut_level_crawl(spark, folder).stats.drop("elapsed_seconds")
+
+
 def crawl_pages(spark: SparkSession, folder: str) -> DataFrame:
     return _visits(_page_crawl(spark, folder)).select("seq", "url", "depth", "error")
 
@@ -573,6 +619,7 @@ def queries() -> dict[str, Query]:
         frontier_reasons, frontier_next, blocked_hosts, page_link_edges,
         crawl_tree, crawl_tree_stats, crawl_budget, crawl_budget_stats,
         crawl_level, crawl_level_stats, crawl_pages, crawl_pages_stats,
+        crawl_gaps, crawl_gaps_stats, crawl_level_budget, crawl_level_budget_stats,
         fetch_collapse, fetch_classes, fetch_outcomes, failed_pages, failed_page_count,
         host_delays, robots_rule_rows, robots_verdicts, robots_delays,
         sitemap_entries, csv_export_rows,

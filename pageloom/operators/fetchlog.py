@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.reuse import per_application
 from ..functions.urls import get_domain
-from ..plans.stages import salted_join
+from ..plans.stages import split_join
 
 # --- Fixed values ---------------------------------------------------------------
 HTML_CONTENT_TYPE = "text/html"
@@ -116,7 +116,7 @@ def effective_delay(
 ) -> DataFrame:
     """Adds ``delay``: the larger of ``request_delay`` and the host's crawl delay.
 
-    ``delays(netloc, delay)`` has one row per host; pages of a hot host are spread.
+    ``delays(netloc, delay)`` has one row per host; pages of a hot host are split.
     """
     by_host = delays.select(
         F.col("netloc").alias("_domain"), F.col("delay").cast("double").alias("_delay")
@@ -124,7 +124,7 @@ def effective_delay(
     placed = fetches.withColumn("_domain", get_domain(F.col("url")))
     larger = F.greatest(F.lit(float(request_delay)), F.coalesce("_delay", F.lit(0.0)))
     return (
-        salted_join(placed, by_host, "_domain", ["url"], "left")
+        split_join(placed, by_host, "_domain", ["url"])
         .withColumn("delay", larger)
         .drop("_domain", "_delay")
     )

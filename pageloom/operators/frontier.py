@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.urls import domain_suffixes, get_domain, is_crawlable_scheme
-from ..plans.stages import salted_join
-from .robots import robots_allowed
+from ..plans.stages import materialize, split_join
+from .robots import robots_judged
 
 _LINKS_PER_PAGE = 2**31  # an array cannot hold more
 
@@ -47,25 +47,20 @@ def not_visited(candidates: DataFrame, visited: DataFrame) -> DataFrame:
     return candidates.join(visited.select("url"), "url", "left_anti")
 
 
-def _domain_test(urls: DataFrame, roots: DataFrame) -> DataFrame:
-    """Adds ``_inside``: whether a URL's host equals a root or lies below one.
+def _inside(domains: DataFrame, roots: DataFrame) -> DataFrame:
+    """Adds ``_inside`` to distinct ``_domain`` rows: equal to a root or below one.
 
-    The suffix test is an equality join: the distinct hosts, exploded to all their
-    suffixes, are looked up among the roots and joined back. NULL roots (seeds without a
-    URL) match nothing.
+    The suffix test is an equality join: hosts, exploded to all their suffixes, are looked
+    up among the roots. NULL roots (seeds without a URL) match nothing.
     """
-    tested = urls.withColumn("_domain", get_domain(F.col("url")))
-    domains = tested.select("_domain").distinct()
     suffixes = domains.select(
         "_domain", F.explode(domain_suffixes(F.col("_domain"))).alias("root")
     )
     named = roots.select(F.lower("root").alias("root")).dropna()
-    inside = suffixes.join(named, "root", "left_semi").select("_domain").distinct()
-    hits = inside.withColumn("_hit", F.lit(True))
-    return (
-        salted_join(tested, hits, "_domain", ["url"], "left")
-        .withColumn("_inside", F.col("_hit").isNotNull())
-        .drop("_domain", "_hit")
+    hits = suffixes.join(named, "root", "left_semi").select("_domain").distinct()
+    hits = hits.withColumn("_hit", F.lit(True))
+    return domains.join(hits, "_domain", "left").select(
+        *domains.columns, F.col("_hit").isNotNull().alias("_inside")
     )
 
 
@@ -79,19 +74,38 @@ def eligible(
     """Adds ``reject_reason`` to rows with a ``url``; null means the URL may be queued.
 
     Tests in this order: ``scheme``, ``visited`` (a duplicate), ``domain``, ``robots``.
+
+    Each distinct URL is judged once: a partial count in every task leaves one row of a URL
+    that very many links name, and the counts tell which URLs and hosts must be split when
+    the verdicts are joined back.
     """
+    edges = materialize(edges, "edges")
+    url = F.col("url")
+    targets = edges.groupBy("url").agg(F.count("*").alias("n"))
+    targets = materialize(targets.withColumn("_domain", get_domain(url)), "targets")
+    domains = targets.groupBy("_domain").agg(F.count("*").alias("n"))
+    domains = materialize(_inside(domains, roots), "domains")
+    judged = split_join(
+        targets, domains.drop("n"), "_domain", ["url"], counts=domains.select("_domain", "n")
+    )
     seen = visited.select("url").distinct().withColumn("_seen", F.lit(True))
-    judged = robots_allowed(_domain_test(edges, roots), policy, respect_robots)
+    judged = judged.join(seen, "url", "left")
+    if policy is not None and respect_robots:
+        judged = robots_judged(judged, policy)
+    else:
+        judged = judged.withColumn("allowed", F.lit(True))
+    reason = (
+        F.when(~is_crawlable_scheme(url), "scheme")
+        .when(F.col("_seen"), "visited")
+        .when(~F.coalesce("_inside", F.lit(False)), "domain")
+        .when(~F.col("allowed"), "robots")
+    )
+    judged = materialize(judged.select("url", "n", reason.alias("reject_reason")), "judged")
     # Links to one hot URL differ in where they come from.
     spread = [name for name, kind in edges.dtypes if not kind.startswith("map")]
-    return (
-        salted_join(judged, seen, "url", spread, "left")
-        .withColumn(
-            "reject_reason",
-            F.when(~is_crawlable_scheme(F.col("url")), "scheme")
-            .when(F.col("_seen"), "visited")
-            .when(~F.col("_inside"), "domain")
-            .when(~F.col("allowed"), "robots"),
-        )
-        .drop("_seen", "_inside", "allowed")
+    rejected = judged.filter("reject_reason IS NOT NULL")
+    joined = split_join(
+        edges, rejected.drop("n"), "url", spread, counts=rejected.select("url", "n")
     )
+    lost = F.when(url.isNull(), "domain")  # a null URL is in no domain
+    return joined.select(*edges.columns, F.coalesce("reject_reason", lost).alias("reject_reason"))

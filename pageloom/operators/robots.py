@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.reuse import per_application
 from ..functions.text import let, strip
 from ..functions.urls import get_domain
-from ..plans.stages import salted_join
+from ..plans.stages import materialize, split_join
 
 # --- Fixed values ---------------------------------------------------------------
 ANY_AGENT = "*"
@@ -159,19 +159,57 @@ def _target(url: Column) -> Column:
     )
 
 
-@per_application
-def _verdict_columns() -> tuple[dict[str, Column], Column]:
-    hit = F.try_element_at(
-        F.filter("_rules", lambda r: F.col("_target").startswith(r["path_prefix"])),
-        F.lit(1),
-    )["allow"]
-    allowed = (
-        F.when(F.col("_verdict") == "deny", False)
-        .when(F.col("_verdict") == "rules", F.coalesce(hit, F.lit(True)))
-        .otherwise(True)
+def rule_index(policy: DataFrame) -> DataFrame:
+    """The rules of all hosts as a lookup table: ``_domain, _prefix, _first``.
+
+    Of equal prefixes the first rule counts; ``_first`` is twice its number, and one more
+    if it allows: a plain number, so that its minimum stays a hash aggregation.
+    """
+    rules = policy.filter("verdict = 'rules'").select(
+        F.col("netloc").alias("_domain"), F.inline("rules")
+    )
+    return rules.groupBy("_domain", F.col("path_prefix").alias("_prefix")).agg(
+        F.min(2 * F.col("rule_seq").cast("bigint") + F.col("allow").cast("bigint")).alias("_first")
+    )
+
+
+def _host_rules(policy: DataFrame) -> DataFrame:
+    """``_domain, _verdict, _lengths``: how long the host's prefixes are, each once."""
+    lengths = F.array_sort(
+        F.array_distinct(F.transform("rules", lambda r: F.length(r["path_prefix"])))
     )
+    return policy.select(
+        F.col("netloc").alias("_domain"), F.col("verdict").alias("_verdict"), lengths.alias("_lengths")
+    )
+
+
+def robots_judged(urls: DataFrame, policy: DataFrame) -> DataFrame:
+    """Adds ``allowed`` to rows of distinct ``url``.
+
+    A URL is cut at the lengths that its host's prefixes have, and the cuts are looked up
+    among the rules by an equality join; of those found, the rule with the smallest number
+    decides. So the time follows the URLs and the different lengths, not the rules: a host
+    with very many rules costs no more than one with few. Hosts' rows are met by a join
+    that splits only hosts with very many URLs.
+    """
     url = F.col("url")
-    return {"_domain": get_domain(url), "_target": _target(url)}, allowed
+    placed = urls.withColumns({"_domain": get_domain(url), "_target": _target(url)})
+    placed = split_join(placed, _host_rules(policy), "_domain", ["url"])
+    cuts = F.filter("_lengths", lambda n: n <= F.length("_target"))
+    tested = placed.filter(F.col("_verdict") == "rules").select(
+        "url",
+        "_domain",
+        F.explode(F.transform(cuts, lambda n: F.left(F.col("_target"), n))).alias("_prefix"),
+    )
+    denied = (
+        tested.join(rule_index(policy), ["_domain", "_prefix"])
+        .groupBy("url")
+        .agg(F.min("_first").alias("_first"))
+        .filter("_first % 2 = 0")
+        .select("url", F.lit(True).alias("_denied"))
+    )
+    allowed = ~(F.coalesce("_denied", F.lit(False)) | F.coalesce(F.col("_verdict") == "deny", F.lit(False)))
+    return placed.join(denied, "url", "left").select(*urls.columns, allowed.alias("allowed"))
 
 
 def robots_allowed(
@@ -179,22 +217,18 @@ def robots_allowed(
 ) -> DataFrame:
     """Adds ``allowed`` to rows with a ``url``; the first matching prefix decides.
 
-    Rules stay packed in one row per host, so the join never multiplies URLs by rules.
-    No hint is given: a policy table below Spark's broadcast threshold is broadcast;
-    beyond it a hot host's URLs are spread over salted keys.
+    Every distinct URL is judged once (:func:`robots_judged`); only the URLs that are
+    denied come back to the rows. A null URL is allowed.
     """
     if not enabled or policy is None:
         return urls.withColumn("allowed", F.lit(True))
-    hosts = policy.select(
-        F.col("netloc").alias("_domain"),
-        F.col("verdict").alias("_verdict"),
-        F.col("rules").alias("_rules"),
-    )
-    prepared, allowed = _verdict_columns()
-    return (
-        salted_join(urls.withColumns(prepared), hosts, "_domain", ["url"], "left")
-        .withColumn("allowed", allowed)
-        .drop("_domain", "_target", "_verdict", "_rules")
+    targets = urls.filter("url IS NOT NULL").groupBy("url").agg(F.count("*").alias("n"))
+    denied = robots_judged(targets, policy).filter("NOT allowed").drop("allowed")
+    denied = materialize(denied, "denied")
+    hits = denied.select("url", F.lit(False).alias("_allowed"))
+    spread = [name for name, kind in urls.dtypes if not kind.startswith("map")]
+    return split_join(urls, hits, "url", spread, counts=denied).select(
+        *urls.columns, F.coalesce("_allowed", F.lit(True)).alias("allowed")
     )
 
 

@@ -4,9 +4,11 @@ import random
 from dataclasses import dataclass, field
 
 import pytest
+from pyspark.sql import functions as F
 
-from pageloom.plans import crawl as plan
+from pageloom.plans import crawl as plan, stages
 from pageloom.plans.crawl import crawl
+from pageloom.plans.graph import PageGraph
 from pageloom.schema import FETCH
 from pageloom.sources.fetches import save_fetches
 from pageloom.sources.seeds import root_domains, seeds
@@ -123,7 +125,9 @@ def _run(spark, graph, mode, max_depth, max_pages):
     [(1, 2, 100), (2, 6, 7), (3, 6, 3), (4, 0, 2), (5, 4, 1), (6, 6, 10)],
 )
 def test_random_graphs(spark, monkeypatch, mode, seed, max_depth, max_pages):
-    monkeypatch.setattr(plan, "_SPARE_ROWS", 0)  # several rounds inside one level
+    if seed == 2:  # nothing is broadcast and a key of three rows is hot
+        monkeypatch.setattr(stages, "BROADCAST_ROWS", 0)
+        monkeypatch.setattr(stages, "HOT_ROWS", 2)
     graph = random_graph(seed)
     shift = 100  # three digits each: no node is a prefix of another
     graph = Graph(
@@ -187,6 +191,37 @@ def test_seeds(spark):
     assert [r["root"] for r in root_domains(seeds(spark, [g["url"] for g in got])).collect()] == ["a.example"]
 
 
+def test_level_moves_no_page_and_nothing_visited(spark, monkeypatch):
+    """Buckets of pages and of visited URLs are joined without an exchange above them."""
+    monkeypatch.setattr(stages, "BROADCAST_ROWS", 0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        graph = PageGraph(_tables(spark, random_graph(2)))
+        walk = plan._Fifo(graph, None, 3, 100)
+        walk.visited = stages.BucketedTable(spark, "visited", "url", graph.buckets)
+        first = spark.createDataFrame([(f"{SITE}1", 0, 0), (f"{SITE}2", 1, 0)], "url string, seq long, depth int")
+        walk._visit(first)
+        walk._visit(spark.createDataFrame([(f"{SITE}3", 2, 1)], first.schema))
+        targets = walk._links(1).groupBy("url").agg(F.min("key").alias("key"), F.count("*").alias("n"))
+        judged = walk._judged(targets)._jdf.queryExecution().executedPlan().toString()
+        assert judged.count("Exchange") == 1 and judged.count("SortMergeJoin") == 3
+        assert "paragraphs" not in judged and "body" not in judged
+        records = walk._records()._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in records
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_one_graph_for_many_runs(spark):
+    fetches = _tables(spark, random_graph(3))
+    graph = PageGraph(fetches, buckets=3)
+    start = seeds(spark, [f"{SITE}{n}" for n in random_graph(3).starts])
+    for depth in (0, 3):
+        shared = crawl(start, graph, max_depth=depth).records.orderBy("seq").collect()
+        assert shared == crawl(start, fetches, max_depth=depth).records.orderBy("seq").collect()
+
+
 def test_bucketed_responses_do_not_move(spark):
     rows = [(f"https://h/{i}", 200, "text/html", "", "", None) for i in range(20)]
     name = f"fetches_{random.randrange(10**9)}"

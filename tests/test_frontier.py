@@ -77,5 +77,6 @@ def test_null_root_does_not_let_other_hosts_in(spark):
 
     found = spark.createDataFrame([("https://b.example/x",), ("https://a.example/x",)], "url string")
     roots = spark.createDataFrame([("a.example",), (None,)], "root string")
-    got = {r.url: r._inside for r in frontier._domain_test(found, roots).collect()}
-    assert got == {"https://b.example/x": False, "https://a.example/x": True}
+    none = found.limit(0)
+    got = {r.url: r.reject_reason for r in frontier.eligible(found, none, roots).collect()}
+    assert got == {"https://b.example/x": "domain", "https://a.example/x": None}

@@ -90,3 +90,30 @@ def test_hot_keys_give_whole_results(spark, no_broadcast):
     assert first.count() == 20_001
     assert first.filter("url = 'https://h/hot'").first()["key"] == 3 * 2**31
     assert "SortAggregate" not in physical(first)
+
+
+def test_only_hot_keys_are_split(spark, monkeypatch, no_broadcast):
+    from pageloom.plans import stages
+
+    left = spark.range(9_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), "id")).alias("key"), "id"
+    )
+    right = left.select("key").distinct().withColumn("size", F.length("key"))
+    monkeypatch.setattr(stages, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(stages, "HOT_ROWS", 10_000)
+    whole = stages.split_join(left, right, "key", ["id"])
+    assert "Generate" not in physical(whole) and "_salt" not in physical(whole)
+    monkeypatch.setattr(stages, "HOT_ROWS", 1_000)
+    split = stages.split_join(left, right, "key", ["id"])
+    assert split.count() == 9_000 and split.agg(F.sum("size")).first()[0] == whole.agg(F.sum("size")).first()[0]
+    # The hot key's row is copied three times, all others once.
+    hot = left.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1000")
+    assert [tuple(r) for r in hot.collect()] == [("hot", 3000)]
+    assert stages.split_join(left, right, "key", ["id"], counts=hot).count() == 9_000
+
+
+def test_dropping_stages(spark):
+    from pageloom.plans.stages import stage_path
+
+    df = materialize(spark.range(3), "gone")
+    assert df.count() == 3 and stage_path(spark, "x") != stage_path(spark, "x")

@@ -4,8 +4,10 @@ import random
 from urllib.robotparser import RobotFileParser
 
 import pytest
+from pyspark.sql import functions as F
 
 from pageloom.operators import robots
+from pageloom.plans.stages import materialize
 from pageloom.sources.robots import one_per_host
 
 AGENT = "PageBot/1.0 (+https://bot.example)"
@@ -134,3 +136,29 @@ def test_an_answered_copy_beats_an_unreachable_one(spark):
     copies = [("A.example", None, None), ("a.example", 200, "User-agent: *\nDisallow: /")]
     rows = spark.createDataFrame(copies, "netloc string, http_status int, body string")
     assert [tuple(r)[1] for r in one_per_host(rows).collect()] == [200]
+
+
+def test_host_with_very_many_rules(spark):
+    """50,000 rules of a few lengths: each URL is cut four times, whatever the rules."""
+    lines = "".join(f"Disallow: /{n:05d}\nAllow: /{n:05d}/ok\n" for n in range(0, 50_000, 2))
+    answers = spark.createDataFrame([("big.example", 200, "User-agent: *\n" + lines)], "netloc string, http_status int, body string")
+    policy = materialize(robots.robots_policy(answers, "bot"), "policy")
+    assert robots.rule_index(policy).count() == 50_000
+    urls = spark.range(20_000).select(
+        F.concat(F.lit("https://big.example/"), F.lpad(F.col("id").cast("string"), 5, "0"),
+                 F.when(F.col("id") % 3 == 0, "/ok/x").otherwise("")).alias("url"), "id"
+    )
+    got = robots.robots_allowed(urls, policy)
+    # The first rule that fits decides, so a longer Allow behind it changes nothing.
+    assert got.count() == 20_000
+    assert got.filter(F.col("allowed") != (F.col("id") % 2 == 1)).count() == 0
+
+
+def test_first_of_equal_and_nested_prefixes(spark):
+    body = "User-agent: *\nAllow: /a/b\nDisallow: /a\nAllow: /a\nDisallow: /\nAllow: /c"
+    answers = spark.createDataFrame([("h", 200, body)], "netloc string, http_status int, body string")
+    cases = {"http://h/a/b/c": True, "http://h/a": False, "http://h/ab": False, "http://h/c": False, "http://h": False,
+             "http://other/a": True, None: True}
+    urls = spark.createDataFrame([(u,) for u in cases] * 2, "url string")
+    got = robots.robots_allowed(urls, robots.robots_policy(answers, "bot")).collect()
+    assert len(got) == 2 * len(cases) and {r.url: r.allowed for r in got} == cases
