@@ -24,9 +24,12 @@ LEAST_SCORE = 0.5
 def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents whose language is settled; ``lang`` stays as it was given.
 
-    Null, empty and letterless texts go, as nothing says what language they are in.
+    Null, empty and letterless texts go, as nothing says what language they are in. Where
+    no document has a language, none is learned and nothing can be rejected: all rows stay.
     """
     model = language_id.train(docs, vocabulary("piece_bpe_32k.model"))
+    if not model.languages:
+        return docs.select(*COLUMNS)
     found = language_id.identify(docs, model, keep=COLUMNS[1:])
     kept = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
     return found.filter(kept).select(*COLUMNS)

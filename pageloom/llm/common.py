@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Text of one Arrow batch that is worked on at once.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
 
 
 def rows_of(docs: DataFrame, *columns: str) -> DataFrame:
@@ -84,13 +84,22 @@ _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
+def _table_of(base: np.uint64, length: int) -> np.ndarray:
+    table = np.full(length, base, np.uint64)
+    table[0] = 1
+    return np.multiply.accumulate(table)
+
+
 def powers(length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the hash's base and of its inverse, modulo 2**64."""
+    """Powers of the hash's base and of its inverse, modulo 2**64.
+
+    Tables of the usual size stay with the Python worker; those of a single long text do not.
+    """
+    if length > 2 * SLICE_BYTES:
+        return tuple(_table_of(base, length) for base in (_BASE, _BASE_INVERSE))
     if len(_powers["up"]) < length:
         for name, base in (("up", _BASE), ("down", _BASE_INVERSE)):
-            table = np.full(length, base, np.uint64)
-            table[0] = 1
-            _powers[name] = np.multiply.accumulate(table)
+            _powers[name] = _table_of(base, length)
     return _powers["up"], _powers["down"]
 
 

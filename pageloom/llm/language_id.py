@@ -17,6 +17,10 @@ WORD_LETTERS = 48
 PIECE_LENGTH = 16
 # Expected count that every piece has in every language beforehand.
 PRIOR = 0.01
+# A smaller probability of a word, or of a part of one, is worked out in logarithms.
+_LEAST = 1e-200
+# Text that is worked on at once.
+SLICE_BYTES = 4 << 20
 _SPACE = 0x2581  # the vocabulary's mark of a word's beginning
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SLOT = np.uint64(42)
@@ -152,11 +156,38 @@ def _forward(numbers: list[list[np.ndarray]], table: np.ndarray) -> list[np.ndar
     return prefix
 
 
+def _log_forward(numbers: list[list[np.ndarray]], logs: np.ndarray) -> list[np.ndarray]:
+    """As :func:`_forward`, in logarithms: for words whose probability a double cannot hold."""
+    n, width = len(numbers[0][0]), logs.shape[1]
+    prefix = [np.zeros((n, width))]
+    for ends in numbers:
+        total = np.full((n, width), -np.inf)
+        for k, number in enumerate(ends, 1):
+            some = np.flatnonzero(number >= 0)
+            if len(some):
+                total[some] = np.logaddexp(total[some], logs[number[some]] + prefix[-k][some])
+        prefix.append(total)
+    return prefix
+
+
+def _part(numbers: list[list[np.ndarray]], rows: np.ndarray) -> list[list[np.ndarray]]:
+    return [[number[rows] for number in ends] for ends in numbers]
+
+
+def _logs(table: np.ndarray) -> np.ndarray:
+    return np.log(table[:-1])  # all but the row of zeros
+
+
 def word_scores(words: pa.Array, table: np.ndarray, vocabulary: Pieces) -> np.ndarray:
-    """Natural-log probability of each word in each language."""
+    """Natural-log probability of each word in each language; always finite."""
     scores = np.zeros((len(words), table.shape[1]))
     for rows, points in _by_length(words):
-        scores[rows] = np.log(_forward(_piece_numbers(points, vocabulary), table)[-1])
+        numbers = _piece_numbers(points, vocabulary)
+        last = _forward(numbers, table)[-1]
+        small = np.flatnonzero((last < _LEAST).any(axis=1))
+        scores[rows] = np.log(np.maximum(last, _LEAST))
+        if len(small):
+            scores[rows[small]] = _log_forward(_part(numbers, small), _logs(table))[-1]
     return scores
 
 
@@ -168,6 +199,15 @@ def expected_counts(
     for rows, points in _by_length(words):
         numbers = _piece_numbers(points, vocabulary)
         prefix = _forward(numbers, table)
+        small = (prefix[-1] < _LEAST).any(axis=1)
+        if small.any():
+            own = np.flatnonzero(small)
+            _add_log_uses(out, _part(numbers, own), counts[rows[own]], _logs(table))
+            kept = np.flatnonzero(~small)
+            if not len(kept):
+                continue
+            numbers, rows = _part(numbers, kept), rows[kept]
+            prefix = [p[kept] for p in prefix]
         weight = counts[rows] / prefix[-1]
         size = len(numbers)
         suffix = [np.zeros_like(weight) for _ in range(size)] + [np.ones_like(weight)]
@@ -184,6 +224,25 @@ def expected_counts(
     return out
 
 
+def _add_log_uses(
+    out: np.ndarray, numbers: list[list[np.ndarray]], counts: np.ndarray, logs: np.ndarray
+) -> None:
+    """Add expected uses of pieces in words that only logarithms can hold."""
+    prefix = _log_forward(numbers, logs)
+    size = len(numbers)
+    suffix = [np.full_like(prefix[0], -np.inf) for _ in range(size)] + [np.zeros_like(prefix[0])]
+    for end in range(size, 0, -1):
+        for k, number in enumerate(numbers[end - 1], 1):
+            some = np.flatnonzero(number >= 0)
+            if not len(some):
+                continue
+            through = logs[number[some]] + suffix[end][some]
+            suffix[end - k][some] = np.logaddexp(suffix[end - k][some], through)
+            use = np.exp(through + prefix[end - k][some] - prefix[-1][some]) * counts[some]
+            for j in range(logs.shape[1]):
+                out[:, j] += np.bincount(number[some], use[:, j], len(out))[: len(out)]
+
+
 def _table(counts: np.ndarray) -> np.ndarray:
     """Piece probabilities by language from expected counts, and the row of zeros."""
     counts = counts + PRIOR
@@ -217,7 +276,7 @@ def train(
     rows = rows_of(docs, text_col, lang_col).toDF("text", "lang").dropna()
 
     def count(batches):
-        for batch, texts in slices(batches, "text"):
+        for batch, texts in slices(batches, "text", SLICE_BYTES):
             coded, row = letter_words(texts)
             lang = batch.column(1).dictionary_encode()
             if not len(coded):
@@ -291,7 +350,7 @@ def identify(
     def score(batches):
         own = shared.value
         vocabulary, width = pieces(own.path), len(own.languages)
-        for batch, texts in slices(batches, "text"):
+        for batch, texts in slices(batches, "text", SLICE_BYTES):
             n = batch.num_rows
             coded, row = letter_words(texts)
             letters = np.zeros(n)

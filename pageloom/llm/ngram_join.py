@@ -16,7 +16,7 @@ from .graph import components
 from .stages import ship_package, stored
 
 # Texts of one slice, bytes.
-_SLICE = 4 << 20
+_SLICE = 2 << 20
 # Grams of a block of candidates; two blocks are searched together.
 BLOCK_GRAMS = 1_000_000
 # Documents looked at, and grams kept, to put frequent grams last in the common order.

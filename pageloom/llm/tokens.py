@@ -32,6 +32,10 @@ class WordTokenizer:
         self.known: dict[str, int] = {}
         self._reset()
 
+    def forget(self) -> None:
+        """Give back what the words of a task have taken."""
+        self._reset()
+
     def _reset(self) -> None:
         self.known.clear()
         self.ids = np.zeros(1 << 20, np.uint32)

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -134,10 +135,15 @@ def test_rollup_goes_on_from_its_folder(spark, docs, tmp_path):
     whole = (30, sum(2 if i == 20 else len(t.split()) for i, t in texts))
     assert sums() == whole
     # A batch whose writing broke off does not count until it is committed again.
-    (tmp_path / "rollup" / "batch-000000000003" / "_SUCCESS").unlink()
-    assert sums() == (30, sum(len(t.split()) for _, t in texts))
-    opened().commit(3, rows.filter("doc_id = 20").withColumns({"kind": F.lit("revise"), "text": F.lit("a b")}))
+    more = docs.filter("doc_id = 21").withColumn("kind", F.lit("delete"))
+    broken = more.withColumn("doc_id", F.raise_error(F.lit("lost")).cast("long"))
+    with pytest.raises(Exception, match="lost"):
+        opened().commit(4, broken)
+    assert sums() == whole
+    # Nor does a retry of a committed number that fails, or succeeds, change anything.
+    assert opened().commit(3, broken) is False and opened().commit(1, more) is False
     assert sums() == whole
+    assert opened().commit(4, more) and sums()[0] == 29
 
 
 def test_quality_measurements(docs):
@@ -257,6 +263,39 @@ def test_language_id(spark, docs):
     assert language_id.identify(docs, model).count() == docs.count()
 
 
+def test_language_of_letters_too_rare_for_doubles(spark):
+    """Long runs of unseen scripts are asked and learned; no score is lost."""
+    odd = ["中" * 60, "ไ" * 80, "ሀ" * 48, "中" * 20_000, "ab" * 40]
+    rows = [(i, "the cat and the dog", "en") for i in range(40)] + [(i, "le chat et le chien", "fr") for i in range(40)]
+    learned = spark.createDataFrame(rows + [(99, t, "en") for t in odd], "doc_id long, text string, lang string")
+    asked = spark.createDataFrame(list(enumerate([*odd, "the dog", "le chien"])), "doc_id long, text string")
+    for table in (learned, learned.filter("doc_id < 99")):
+        model = language_id.train(table, vocabulary(PIECES))
+        assert np.isfinite(model.table).all() and (model.table[:-1] > 0).all()
+        got = {r.doc_id: r for r in language_id.identify(asked, model).collect()}
+        assert all(0 <= r.score <= 1 and np.isfinite(r.nats_per_letter) for r in got.values())
+        assert (got[5].lang_pred, got[6].lang_pred) == ("en", "fr")
+
+
+def test_logarithms_equal_plain_sums(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    own = language_id.pieces(vocabulary(PIECES))
+    words = pa.array(["the", "chien", "internationalisation", "中文", "x" * 48], pa.large_string())
+    table = language_id._table(rng.random((own.size, 3)))
+    counts = rng.random((len(words), 3))
+    plain = language_id.word_scores(words, table, own), language_id.expected_counts(words, counts, table, own)
+    monkeypatch.setattr(language_id, "_LEAST", 2.0)
+    logs = language_id.word_scores(words, table, own), language_id.expected_counts(words, counts, table, own)
+    assert np.allclose(plain[0], logs[0]) and np.allclose(plain[1], logs[1])
+
+
+def test_pipeline_without_labels_keeps_rows(spark, docs):
+    import corpus_pipeline
+
+    rows = docs.withColumn("n_chars", F.lit(1)).withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.in_known_language(spark, rows, "").count() == docs.count()
+
+
 def test_pseudonyms_are_valid_and_reversible():
     text = "4111 1111 1111 1111, 10.2.3.4 a.b7@mail.example.com +1 (663) 555-6869 2024-02-29 123-45-6789 4111111111111112"
     there, spans = pii.Pseudonyms(b"k").replace(text)
