@@ -24,8 +24,8 @@ from pageloom.plans.crawl import Crawl, crawl
 from pageloom.plans.stages import checkpoint_dir, materialize
 from pageloom.sinks import exports
 from pageloom.sources import fetches, records as record_io
-from pageloom.sources.robots import one_per_host
-from pageloom.sources.seeds import root_domains
+from pageloom.sources.robots import one_per_host, read_robots
+from pageloom.sources.seeds import root_domains, seed_lists
 
 try:
     import corpus_pipeline
@@ -234,6 +234,20 @@ def page_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def page_references(spark: SparkSession, folder: str) -> DataFrame:
+    """A paragraph of character references, with and without semicolon, before each page."""
+    number = F.col("page_id").cast("string")
+    extra = F.concat(
+        F.lit("<p>&nbsp;&copy "), number, F.lit(" &notit; caf&eacute &hellip;&mdash;&#8364;&#x41;<b> &amp;lt;"),
+        number, F.lit("</b>&CounterClockwiseContourIntegral;&unknown; &#xFDD0;&</p>"),
+    )
+    pages = _pages(spark, folder).withColumn("html", F.concat(extra, F.col("html")))
+    records = parse_pages(_fetches(pages))
+    return records.select(
+        "seq", F.size("paragraphs").cast("bigint").alias("n"), F.array_join("paragraphs", "\n").alias("texts")
+    )
+
+
 def page_word_counts(spark: SparkSession, folder: str) -> DataFrame:
     records = _captured(spark, folder)
     return records.select(
@@ -563,6 +577,49 @@ def json_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return _wide(page_metrics(record_io.read_record_lines(spark, path)))
 
 
+def document_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """All records written as one document in eight parts and read back part by part."""
+    path = _scratch(spark, "document")
+    exports.write_crawl_json(materialize(_enriched(spark, folder), "records"), path, "run", parts=8)
+    return _wide(page_metrics(record_io.read_crawl_json(spark, path)))
+
+
+def seed_list(spark: SparkSession, folder: str) -> DataFrame:
+    """The addresses of each host's pages as one comma-separated text, read as seeds."""
+    pages = _table(spark, folder, "pages")
+    text = F.concat(F.lit(" , "), F.array_join(F.sort_array(F.collect_set("url")), " ,,\t"), F.lit(", "))
+    lists = pages.groupBy(urls.get_domain(F.col("url")).alias("host")).agg(
+        text.alias("urls"), F.min("page_id").alias("line")
+    )
+    return seed_lists(lists).select("url", F.col("depth").cast("bigint").alias("depth"), "seq")
+
+
+def stored_fetches(spark: SparkSession, folder: str) -> DataFrame:
+    """Responses written as a fetch log, read with the log's schema and classified."""
+    path = _scratch(spark, "fetches")
+    _responses(spark, folder).withColumns(
+        {"body": F.lit(None).cast("string"), "fetched_at": _timestamp(F.col("seq") % 1000)}
+    ).write.parquet(path)
+    rows = fetchlog.classify_fetch(fetches.read_fetches(spark, path))
+    return rows.groupBy(F.coalesce("error", F.lit("(none)")).alias("error")).agg(
+        F.count("*").alias("n"), F.max("fetched_at").alias("last")
+    ).filter("error NOT LIKE '% for url: %'")
+
+
+def robots_read(spark: SparkSession, folder: str) -> DataFrame:
+    """Robots files of hosts in mixed case, each stored twice, once without an answer."""
+    path = _scratch(spark, "robots")
+    answers = _host_answers(spark, folder)
+    lost = answers.withColumns({"http_status": F.lit(None).cast("int"), "body": F.lit(None).cast("string")})
+    lost.unionByName(answers.withColumn("netloc", F.upper("netloc"))).write.parquet(path)
+    kept = read_robots(spark, path)
+    return kept.select(
+        "netloc",
+        F.coalesce(F.col("http_status").cast("bigint"), F.lit(-1)).alias("http_status"),
+        F.coalesce(F.length("body").cast("bigint"), F.lit(-1)).alias("size"),
+    )
+
+
 def sitemap_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """All records written as sitemaps; their locations read back."""
     path = _scratch(spark, "sitemap")
@@ -611,7 +668,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     plain = [
-        page_titles, page_meta, page_headings, page_paragraphs, page_word_counts,
+        page_titles, page_meta, page_headings, page_paragraphs, page_references, page_word_counts,
         page_flat_metrics, page_links, link_classes, link_hosts, page_images,
         url_fields, url_resolution,
         keyword_search_pages, keyword_search_documents, keyword_search_batch,
@@ -623,7 +680,8 @@ def queries() -> dict[str, Query]:
         fetch_collapse, fetch_classes, fetch_outcomes, failed_pages, failed_page_count,
         host_delays, robots_rule_rows, robots_verdicts, robots_delays,
         sitemap_entries, csv_export_rows,
-        json_round_trip, sitemap_round_trip, csv_round_trip, table_round_trip,
+        json_round_trip, document_round_trip, sitemap_round_trip, csv_round_trip, table_round_trip,
+        stored_fetches, robots_read, seed_list,
     ]
     registered = {query.__name__: query for query in plain}
     registered["fetch_collapse_lenient"] = partial(fetch_collapse, strict=False)

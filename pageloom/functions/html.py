@@ -65,23 +65,29 @@ _ANY_TAG = rf"{OPEN}{_REST}"
 def mark_tags(body: Column) -> Column:
     """Markup with tags in brackets; comments, scripts and styles become empty tags.
 
-    The noncharacters used as marks are taken out of the body first.
+    Where the body itself holds one of the noncharacters used as marks, it becomes a
+    numeric reference and is a character again when the extracted text is decoded.
     """
     for mark in (OPEN, CLOSE, BORDER):
-        body = F.replace(body, F.lit(mark), F.lit(""))
+        body = F.replace(body, F.lit(mark), F.lit(f"&#{ord(mark)};"))
     return F.regexp_replace(body, _TOKEN, f"{OPEN}$1{CLOSE}")
 
 
 def block_text(marked: Column) -> Column:
-    """Entity-decoded text with block tags kept and inline tags turned into borders."""
-    return decode_entities(F.regexp_replace(marked, _INLINE, BORDER))
+    """Block tags kept, inline tags turned into borders; references are not decoded yet."""
+    return F.regexp_replace(marked, _INLINE, BORDER)
+
+
+def _node(text: Column) -> Column:
+    """A text node: decoded, then stripped, as references may stand for white space."""
+    return strip(decode_entities(text))
 
 
 def text_of(segment: Column) -> Column:
-    """Text nodes stripped one by one and run together (``Hello <b>world</b>`` →
-    ``Helloworld``)."""
-    nodes = F.transform(F.split(segment, BORDER, -1), strip)
-    return F.when(segment.contains(BORDER), F.array_join(nodes, "")).otherwise(strip(segment))
+    """Text nodes decoded and stripped one by one and run together
+    (``Hello <b>world</b>`` → ``Helloworld``)."""
+    nodes = F.transform(F.split(segment, BORDER, -1), _node)
+    return F.when(segment.contains(BORDER), F.array_join(nodes, "")).otherwise(_node(segment))
 
 
 def page_title(marked: Column) -> Column:
@@ -135,7 +141,12 @@ def _value(raw: Column) -> Column:
     unquoted = F.when(
         raw.startswith('"') | raw.startswith("'"), raw.substr(F.lit(2), F.length(raw) - 2)
     ).otherwise(raw)
-    return decode_entities(unquoted)
+    return decode_entities(unquoted, in_attribute=True)
+
+
+def _address(raw: Column) -> Column:
+    """A stripped address; the noncharacters used as marks cannot be part of one."""
+    return strip(F.translate(raw, OPEN + CLOSE + BORDER, ""))
 
 
 def attribute_values(marked: Column, tag: str, name: str) -> Column:
@@ -169,7 +180,7 @@ def meta_content(metas: Column, name: str) -> Column:
 
 def href_values(marked: Column) -> Column:
     """Stripped ``href`` of anchors, without blanks and the skipped prefixes."""
-    hrefs = F.transform(attribute_values(marked, "a", "href"), strip)
+    hrefs = F.transform(attribute_values(marked, "a", "href"), _address)
 
     def wanted(href: Column) -> Column:
         keep = href != ""
@@ -182,5 +193,5 @@ def href_values(marked: Column) -> Column:
 
 def src_values(marked: Column) -> Column:
     """Stripped, non-empty ``src`` of images."""
-    sources = F.transform(attribute_values(marked, "img", "src"), strip)
+    sources = F.transform(attribute_values(marked, "img", "src"), _address)
     return F.filter(sources, lambda s: s != "")

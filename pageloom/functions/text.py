@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import re
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column, functions as F
 
@@ -61,16 +61,33 @@ def count_words(text: Column) -> Column:
 
 
 def _entity_table() -> Column:
-    """``&name;`` → character for the HTML 4 names, the everyday ones first.
+    """``name;`` → text for all names of HTML 5, the everyday ones first.
 
-    One JSON literal instead of hundreds of map arguments; Catalyst folds it to a
-    constant map.
+    One JSON literal instead of thousands of map arguments; Catalyst folds it to a
+    constant map. It is searched from its beginning.
     """
-    names = ["amp", "lt", "gt", "quot", "apos", "nbsp", *sorted(name2codepoint)]
-    table = {f"&{n};": chr(name2codepoint.get(n, ord("'"))) for n in names}
+    usual = ["copy;", "middot;", "nbsp;", "hellip;", "mdash;", "ndash;", "rsquo;", "eacute;"]
+    full = [n for n in html5 if n.endswith(";")]
+    table = {name: html5[name] for name in [*usual, *sorted(full)]}
     return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
 
 
+def _short_names() -> list[str]:
+    """Names that count without a semicolon too, longer ones before their beginnings."""
+    return sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+
+
+def _short_table() -> Column:
+    table = {name: html5[name] for name in sorted(_short_names())}
+    return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
+
+
+# References that are replaced one by one, the ampersand last, so that what it brings
+# about is not read again.
+_PLAIN = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+_OTHER = "&(?!(?:lt|gt|quot|#39|amp);)[#A-Za-z]"
+
+
 def _code_point(hex_or_dec: Column) -> Column:
     def char(n: Column) -> Column:
         valid = (
@@ -97,28 +114,53 @@ def _code_point(hex_or_dec: Column) -> Column:
     return let(let(digits, number), char)
 
 
-def decode_entities(text: Column) -> Column:
+def decode_entities(text: Column, in_attribute: bool = False) -> Column:
     """Named (``&amp;``) and numeric (``&#233;``, ``&#xE9;``) references.
 
-    Unknown names stay as they are; numbers that are no character vanish.
+    All names of HTML 5; those that it allows without a semicolon are found at the
+    beginning of a longer word too, the longest first (``&notit;`` is ``¬it;``), but in an
+    attribute only where no letter, digit or ``=`` follows. Unknown names stay as they are;
+    numbers that are no character vanish.
+
+    Most texts have no reference, and most others only the five of everyday markup: these
+    are replaced without cutting the text into pieces.
     """
     pieces = F.regexp_extract_all(
         text,
-        F.lit("&(?:#[0-9]+;?|#[xX][0-9A-Fa-f]+;?|[A-Za-z][A-Za-z0-9]*;)|[^&]+|&"),
+        F.lit("&(?:#[0-9]+;?|#[xX][0-9A-Fa-f]+;?|[A-Za-z][A-Za-z0-9]*+[;=]?)|[^&]++|&"),
         F.lit(0),
     )
-    table = _entity_table()
+    table, short = _entity_table(), _short_table()
+    first = rf"\A&({'|'.join(_short_names())})"
+
+    def shorter(piece: Column) -> Column:
+        def replaced(name: Column) -> Column:
+            rest = piece.substr(F.length(name) + 2, F.length(piece))
+            known = name != ""
+            if in_attribute:
+                known = known & (rest == "")
+            value = F.concat(F.try_element_at(short, name), rest)
+            return F.when(known, value).otherwise(piece)
+
+        return let(F.regexp_extract(piece, first, 1), replaced)
 
     def decode(piece: Column) -> Column:
         return (
             F.when(~piece.startswith("&"), piece)
             .when(piece.startswith("&#"), F.when(F.length(piece) > 2, _code_point(piece)))
-            .otherwise(F.coalesce(F.try_element_at(table, piece), piece))
+            .otherwise(
+                F.coalesce(F.try_element_at(table, piece.substr(F.lit(2), F.length(piece))), shorter(piece))
+            )
         )
 
-    return F.when(
-        text.contains("&"), F.array_join(F.transform(pieces, decode), "")
-    ).otherwise(text)
+    plain = text
+    for reference, char in _PLAIN:
+        plain = F.replace(plain, F.lit(reference), F.lit(char))
+    return (
+        F.when(~text.contains("&"), text)
+        .when(~text.rlike(_OTHER), plain)
+        .otherwise(F.array_join(F.transform(pieces, decode), ""))
+    )
 
 
 def full_text(title: Column, headings: Column, paragraphs: Column) -> Column:

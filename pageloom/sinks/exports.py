@@ -55,8 +55,8 @@ def write_manifest(records: DataFrame, path: str, run_id: str) -> None:
     manifest.write.mode("overwrite").json(path)
 
 
-def write_crawl_json(records: DataFrame, path: str, run_id: str) -> None:
-    """The one-document form, as ordered text parts.
+def write_crawl_json(records: DataFrame, path: str, run_id: str, parts: int | None = None) -> None:
+    """The one-document form, as ordered text parts (``parts`` of them, else as Spark decides).
 
     ``cat part-*`` yields ``{run_id, exported_at, page_count, pages: […]}``. Opening,
     records and closing are rows of one range-sorted table, so no task or driver holds
@@ -79,8 +79,12 @@ def write_crawl_json(records: DataFrame, path: str, run_id: str) -> None:
     frame = spark.createDataFrame(
         [(0, 0, head[:-1] + ', "pages": ['), (2, 0, "]}")], "part int, seq bigint, value string"
     )
-    whole = frame.unionByName(body).orderBy("part", "seq").select("value")
-    whole.write.mode("overwrite").text(path)
+    whole = frame.unionByName(body)
+    if parts:
+        whole = whole.repartitionByRange(parts, "part", "seq").sortWithinPartitions("part", "seq")
+    else:
+        whole = whole.orderBy("part", "seq")
+    whole.select("value").write.mode("overwrite").text(path)
 
 
 def csv_rows(records: DataFrame) -> DataFrame:

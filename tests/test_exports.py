@@ -162,3 +162,34 @@ def test_stream(spark, tmp_path):
     append_records(records, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination(120)
     got = {r["url"]: (r["word_count"], r["error"] is None) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got == {"https://h/": (2, True), "https://h/f": (0, False)}
+
+
+def test_document_in_parts(spark, tmp_path):
+    """Read part by part, in order; what is damaged or missing is an error."""
+    import shutil
+
+    rows = [(n, f"https://h/{n}", [f"a\n{n}", '"],["', "]}", '"pages": [']) for n in range(200)]
+    df = spark.createDataFrame(rows, "seq bigint, url string, paragraphs array<string>")
+    records = with_defaults(df, "seq")
+    path = tmp_path / "document"
+    exports.write_crawl_json(records, str(path), "run", parts=5)
+    files = sorted(path.glob("part-*"))
+    assert len(files) == 5
+    back = record_io.read_crawl_json(spark, str(path))
+    assert back.rdd.getNumPartitions() > 1
+    got = [(r.seq, r.url, r.paragraphs) for r in back.orderBy("seq").collect()]
+    assert got == rows
+    whole = tmp_path / "whole.json"
+    whole.write_bytes(b"".join(f.read_bytes() for f in files))
+    assert record_io.read_crawl_json(spark, str(whole)).orderBy("seq").collect() == back.orderBy("seq").collect()
+    assert json.loads(whole.read_text())["page_count"] == 200
+    lost = tmp_path / "lost"
+    shutil.copytree(path, lost, ignore=shutil.ignore_patterns(files[2].name, ".*"))
+    with pytest.raises(ValueError, match="damaged export"):
+        record_io.read_crawl_json(spark, str(lost))
+    text = files[2].read_text().splitlines(keepends=True)
+    broken = tmp_path / "broken"
+    shutil.copytree(path, broken, ignore=shutil.ignore_patterns(".*"))
+    (broken / files[2].name).write_text("".join([text[0][: len(text[0]) // 2] + "\n", *text[1:]]))
+    with pytest.raises(Exception, match="MALFORMED|Malformed|malformed"):
+        record_io.read_crawl_json(spark, str(broken)).collect()

@@ -1,7 +1,8 @@
 """Markup → record fields."""
 
 import random
-from html.entities import name2codepoint
+from html import unescape
+from html.entities import html5
 
 from pyspark.sql import functions as F
 
@@ -63,7 +64,7 @@ def test_paragraph_text(spark):
         "<p>x <!-- <p>no</p> --> y</p>": ["xy"],
         "<p>open <!-- never closed <p>no": ["open"],
         "<p>\xa0 &nbsp;t&nbsp; </p><p> \t </p>": ["t"],
-        "<p>&eacute;&#233;&#xE9; &amp;lt; &unknown; &#0;&copy</p>": ["ééé &lt; &unknown; &copy"],
+        "<p>&eacute;&#233;&#xE9; &amp;lt; &unknown; &#0;&copy</p>": ["ééé &lt; &unknown; ©"],
         "<p>1 < 2 and a>b</p>": ["1 < 2 and a>b"],
         '<p title="a > b">x</p>': ["x"],
         "<p>cut <a href='/x": ["cut"],
@@ -134,10 +135,19 @@ def test_malformed_link_host_fails_the_page(spark):
 
 
 def test_named_entities(spark):
-    names = [f"&{n};" for n in [*name2codepoint, "apos"]]
-    df = spark.createDataFrame([("x".join(names),)], "t string")
-    got = df.select(decode_entities(F.col("t")).alias("t")).first()["t"]
-    assert got == "x".join([*map(chr, name2codepoint.values()), "'"])
+    """All names, with their semicolon, without, before letters and before more names."""
+    texts = [f"x&{n}y" for n in html5] + [f"&{n}&{n} &{n}" for n in html5]
+    texts += ["&notit;", "&ampamp;", "&amp;lt;", "&&amp;&", "&unknown; &amp", "a&b&c=&copy=1", "&#65&#x42;&#;&#x;", "&ltx"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(4)
+    got = dict(df.select("i", decode_entities(F.col("t"))).collect())
+    numeric = {len(texts) - 2: "AB&#;&#x;"}
+    for i, t in enumerate(texts):
+        assert got[i] == numeric.get(i, unescape(t)), t
+
+
+def test_names_in_attributes_need_their_end(spark):
+    page = parse(spark, '<a href="/?a=1&copy=2&reg&lt;x&amp;b&notit=3&copy">l</a>')[0]
+    assert page["links"] == ["https://example.com/?a=1&copy=2®<x&b&notit=3©"]
 
 
 def test_strip_equals_python(spark):
