@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .common import hashed_words, mixed, rows_of, slices
+from .common import give_back, hashed_words, mixed, rows_of, slices
 from .graph import components
 from .stages import ship_package, stored
 
@@ -23,7 +23,7 @@ BLOCK_GRAMS = 1_000_000
 ORDER_SAMPLE = 2_000
 ORDER_GRAMS = 50_000
 # Grams that one task compares, of the lowest 40 bits of their hash.
-PART_GRAMS = 2_000_000
+PART_GRAMS = 1_000_000
 # Members of short lists above which they are counted rather than merged by a heap.
 COUNTED = 2_000
 # Blocks of a cluster, each two of which are searched together, before it is searched by list.
@@ -226,6 +226,10 @@ def _frequent(docs: DataFrame, total: int, n: int, percent: int) -> np.ndarray:
     return np.sort(grams.view(np.uint64))
 
 
+def _numbers(value: pa.BinaryScalar, kind) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), kind)
+
+
 def _shared_counts(docs: DataFrame, grams: int, n: int, last: np.ndarray) -> DataFrame:
     """``(key, shared)``: at least how many grams of each set any other set may have too.
 
@@ -262,27 +266,39 @@ def _shared_counts(docs: DataFrame, grams: int, n: int, last: np.ndarray) -> Dat
             ends = np.searchsorted(part[order], np.arange(parts), side="right")
             packed = own[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
             start, out = 0, []
-            key_bytes, known_bytes = np.array(keys, "<i8").tobytes(), np.array(known, "<u4").tobytes()
+            names, known = np.array(keys, "<i8"), np.array(known, "<u4")
             for number, end in enumerate(ends.tolist()):
-                counts = np.bincount(row[order[start:end]], minlength=len(keys)).astype("<u4")
-                first = number == hash(keys[0]) % parts
-                out.append((number, key_bytes, counts.tobytes(), known_bytes if first else b"", packed[start:end].tobytes()))
+                # Sets without a gram of the part are not named there.
+                some, counts = np.unique(row[order[start:end]], return_counts=True)
+                frequent_ones = np.flatnonzero(known) if number == keys[0] % parts else np.zeros(0, np.int64)
+                out.append(
+                    (number, names[some].tobytes(), counts.astype("<u4").tobytes(), names[frequent_ones].tobytes(),
+                     known[frequent_ones].tobytes(), packed[start:end].tobytes())
+                )
                 start = end
+            out = [x for x in out if x[4] or x[5]]
+            if not out:
+                continue
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in out], pa.int32()), *(pa.array([x[i] for x in out], pa.binary()) for i in range(1, 5))],
-                ["part", "keys", "counts", "known", "grams"],
+                [pa.array([x[0] for x in out], pa.int32()), *(pa.array([x[i] for x in out], pa.binary()) for i in range(1, 6))],
+                ["part", "keys", "counts", "owners", "known", "grams"],
             )
+        give_back()
 
     def count(group: pa.Table) -> pa.Table:
-        keys, grams, total = [], [], {}
-        for own, counts, known, packed in zip(*(group[c].to_pylist() for c in ("keys", "counts", "known", "grams"))):
-            own, counts = np.frombuffer(own, "<i8"), np.frombuffer(counts, "<u4")
-            keys.append(np.repeat(own, counts))
-            wide = np.zeros((len(packed) // 5, 8), np.uint8)
-            wide[:, :5] = np.frombuffer(packed, np.uint8).reshape(-1, 5)
-            grams.append(wide.view("<u8").ravel())
-            for key, number in zip(own.tolist(), np.frombuffer(known, "<u4").tolist()):
-                total[key] = number
+        none = [np.zeros(0, np.int64)]
+        keys, grams, owners, known = list(none), [np.zeros(0, np.uint64)], list(none), list(none)
+        for batch in group.to_batches():
+            for own, counts, owner, number, packed in zip(
+                *(batch.column(batch.schema.get_field_index(c)) for c in ("keys", "counts", "owners", "known", "grams"))
+            ):
+                keys.append(np.repeat(_numbers(own, "<i8"), _numbers(counts, "<u4")))
+                data = _numbers(packed, np.uint8)
+                wide = np.zeros((len(data) // 5, 8), np.uint8)
+                wide[:, :5] = data.reshape(-1, 5)
+                grams.append(wide.view("<u8").ravel())
+                owners.append(_numbers(owner, "<i8"))
+                known.append(_numbers(number, "<u4").astype(np.int64))
         keys, grams = np.concatenate(keys), np.concatenate(grams)
         order = np.argsort(grams)
         keys, grams = keys[order], grams[order]
@@ -290,16 +306,18 @@ def _shared_counts(docs: DataFrame, grams: int, n: int, last: np.ndarray) -> Dat
         if len(first):
             several = np.minimum.reduceat(keys, first) < np.maximum.reduceat(keys, first)
             keys = keys[np.repeat(several, np.diff(np.r_[first, len(grams)]))]
+        # Equal sets of several tasks bring the same number of frequent grams.
+        owners, at = np.unique(np.concatenate(owners), return_index=True)
         own, counts = np.unique(keys, return_counts=True)
         return pa.table(
             {
-                "key": pa.array([*own.tolist(), *total], pa.int64()),
-                "shared": pa.array([*counts.tolist(), *total.values()], pa.int64()),
+                "key": pa.array(np.concatenate([own, owners]), pa.int64()),
+                "shared": pa.array(np.concatenate([counts, np.concatenate(known)[at]]), pa.int64()),
             }
         )
 
     asked = docs.select("text").mapInArrow(
-        request, "part int, keys binary, counts binary, known binary, grams binary"
+        request, "part int, keys binary, counts binary, owners binary, known binary, grams binary"
     )
     found = asked.groupBy("part").applyInArrow(count, "key long, shared long")
     return found.groupBy("key").agg(F.sum("shared").alias("shared"))

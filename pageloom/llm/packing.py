@@ -156,7 +156,7 @@ def pack_documents(
             if full:
                 yield rows(full, next_id)
                 next_id += len(full)
-        tokenizer.forget()  # a Python worker outlives its task
+        tokenizer.forget()
         rest = list(packer.close())
         if rest:
             yield rows(rest, next_id)
