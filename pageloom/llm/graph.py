@@ -37,6 +37,8 @@ def components(links: DataFrame, name: str) -> DataFrame:
         if state == before or state[0] == 0:
             break
         before = state
+    else:
+        raise RuntimeError("components not settled after 64 rounds")
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )
