@@ -346,7 +346,21 @@ def keyword_search_batch(spark: SparkSession, folder: str) -> DataFrame:
             F.regexp_extract_all(F.lower("text"), F.lit(f"{text.WORD_CHAR}+"), F.lit(0))
         ).alias("keyword")
     )
-    found = search.keyword_search_batch(_documents(spark, folder), words, limit=5)
+    found = search.keyword_search_batch(_documents(spark, folder), words, limit=5, stored=True)
+    return found.select("keyword", "rank", "seq", "score", "snippet")
+
+
+def keyword_search_batch_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Every word of the page titles, searched in all parsed pages."""
+    records = materialize(
+        _captured(spark, folder).select("seq", "url", "title", "headings", "paragraphs"), "records"
+    )
+    words = records.select(
+        F.explode(
+            F.regexp_extract_all(F.lower("title"), F.lit(f"{text.WORD_CHAR}+"), F.lit(0))
+        ).alias("keyword")
+    )
+    found = search.keyword_search_batch(records, words.distinct(), limit=3, stored=True)
     return found.select("keyword", "rank", "seq", "score", "snippet")
 
 
@@ -636,14 +650,45 @@ def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     path = _scratch(spark, "csv")
     records = _captured(spark, folder)
     exports.write_csv(records, path)
-    plain = exports.csv_rows(records)
+    plain = page_metrics(records).select(*exports.CSV_COLUMNS)
     back = spark.read.options(header=True, escape='"', multiLine=True).csv(path)
-    return _wide(
-        back.select(
-            *(F.coalesce(F.col(n).cast(t), F.lit("" if t == "string" else 0)).cast(t).alias(n)
-              for n, t in plain.dtypes)
-        )
-    )
+
+    def value(name: str, kind: str) -> Column:
+        """An absent value shows as empty or 0; text that is no number is an error."""
+        read = F.col(name)
+        if kind == "string":
+            return F.coalesce(read, F.lit(""))
+        wrong = F.raise_error(F.concat(F.lit(f"{name} is no number: "), read)).cast(kind)
+        return F.when(read.isNull(), F.lit(0).cast(kind)).otherwise(F.coalesce(read.try_cast(kind), wrong))
+
+    return _wide(back.select(*(value(n, t).alias(n) for n, t in plain.dtypes)))
+
+
+def export_all(spark: SparkSession, folder: str) -> DataFrame:
+    """A run exported in all formats after an attempt that broke, then once more; read back.
+
+    One row per format: records, their words and links as the format keeps them.
+    """
+    target = _scratch(spark, "export")
+    records = materialize(_enriched(spark, folder), "records")
+    # What an export leaves that broke while it wrote: table rows without a commit record.
+    broken = exports.table_rows(records, "run").withColumn("attempt", F.lit("0"))
+    broken.write.partitionBy("run_id", "attempt").parquet(f"{target}/pages")
+    exports.export(records, target, ["csv"], run_id="run")
+    exports.export(records, target, run_id="run")
+    paths = exports.export(records, target, run_id="run")
+    lines = page_metrics(record_io.read_record_lines(spark, paths["json"]))
+    table = page_metrics(record_io.read_run(spark, paths["sqlite"], "run"))
+    back = spark.read.options(header=True, escape='"', multiLine=True).csv(paths["csv"])
+    columns = ["word_count", "num_links", "num_images"]
+    kinds = (("json", lines), ("csv", back), ("sqlite", table))
+    read = [
+        rows.select(F.lit(name).alias("format"), *(F.col(c).cast("bigint").alias(c) for c in columns))
+        for name, rows in kinds
+    ]
+    return read[0].union(read[1]).union(read[2]).groupBy("format").agg(
+        F.count("*").alias("n"), *(F.sum(c).alias(c) for c in columns)
+    )
 
 
 def table_round_trip(spark: SparkSession, folder: str) -> DataFrame:
@@ -672,6 +717,7 @@ def queries() -> dict[str, Query]:
         page_flat_metrics, page_links, link_classes, link_hosts, page_images,
         url_fields, url_resolution,
         keyword_search_pages, keyword_search_documents, keyword_search_batch,
+        keyword_search_batch_pages,
         keyword_frequency_pages, keyword_frequency_documents, document_tokens,
         frontier_reasons, frontier_next, blocked_hosts, page_link_edges,
         crawl_tree, crawl_tree_stats, crawl_budget, crawl_budget_stats,
@@ -681,7 +727,7 @@ def queries() -> dict[str, Query]:
         host_delays, robots_rule_rows, robots_verdicts, robots_delays,
         sitemap_entries, csv_export_rows,
         json_round_trip, document_round_trip, sitemap_round_trip, csv_round_trip, table_round_trip,
-        stored_fetches, robots_read, seed_list,
+        export_all, stored_fetches, robots_read, seed_list,
     ]
     registered = {query.__name__: query for query in plain}
     registered["fetch_collapse_lenient"] = partial(fetch_collapse, strict=False)

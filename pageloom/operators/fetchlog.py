@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from http import HTTPStatus
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.reuse import per_application
 from ..functions.urls import get_domain
@@ -53,8 +53,10 @@ def collapse_attempts(
     Adds ``attempts_used`` and ``planned_wait``: ``backoff ** i`` seconds after each
     used attempt ``i`` but the last. In strict mode a 4xx/5xx status is a failure.
 
-    One aggregation with partial results in every task: a URL with very many rows is
-    reduced before the shuffle, and the winning row travels alone.
+    One pass and one exchange: each task ranks its own rows of a URL and sends only the
+    best one, so a URL with very many rows is reduced before the shuffle, and no body lies in
+    an aggregation buffer. Of several rows of the winning attempt the one with the least hash
+    of its fields stays (fields of map type are not hashed).
     """
     failed = F.col("error").isNotNull()
     if strict_status:
@@ -64,14 +66,13 @@ def collapse_attempts(
         F.col("attempt") - max_retries
     )
     fields = [c for c in attempts.columns if c not in ("url", "attempt")]
+    hashed = [c for c, kind in attempts.dtypes if c in fields and "map<" not in kind]
+    best = Window.partitionBy("url").orderBy(rank, F.xxhash64(F.lit(0), *hashed))
     chosen = (
         attempts.filter(F.col("attempt").between(1, max_retries))
-        .groupBy("url")
-        .agg(
-            F.min_by(F.struct(F.col("attempt").alias("attempts_used"), *fields), rank)
-            .alias("_row")
-        )
-        .select("url", "_row.*")
+        .withColumn("_place", F.row_number().over(best))
+        .filter(F.col("_place") == 1)
+        .select("url", F.col("attempt").alias("attempts_used"), *fields)
     )
     waits = F.when(
         F.col("attempts_used") > 1,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import text
-from ..plans.stages import BROADCAST_ROWS, fits
+from ..plans.stages import BROADCAST_ROWS, fits, materialize
 from .pages import record_text
 
 # A record's token position is below 2^31, so (seq, position) packs into one decimal.
@@ -53,12 +53,15 @@ def _top_by_keyword(scores: DataFrame, limit: int, *keys: str) -> DataFrame:
 
 
 def keyword_search_batch(
-    records: DataFrame, keywords: DataFrame, limit: int = 10
+    records: DataFrame, keywords: DataFrame, limit: int = 10, stored: bool = False
 ) -> DataFrame:
     """Top ``limit`` records for every row of ``keywords(keyword)``.
 
     Single words only (letters, digits, underscore); anything else raises an error when
-    the query runs. One pass over the texts serves all keywords. A keyword table of
+    the query runs. One pass over the texts serves all keywords, a second one fetches the
+    texts of the best records; the texts are kept as a stage between them, so that pages
+    are parsed once. With ``stored`` the records come from storage as they are and are
+    scanned twice instead. A keyword table of
     counted, bounded size is broadcast, so only matching words are shuffled; a larger
     one meets the words after they are counted per record, spread over salted keys. In
     either case the rank limit is applied to parts of a word's records before they come
@@ -74,6 +77,8 @@ def keyword_search_batch(
     )
     small = fits(wanted, BROADCAST_ROWS // max(limit, 1))
     texts = records.select("seq", "url", "title", record_text(records).alias("_text"))
+    if not stored:
+        texts = materialize(texts, "texts")
     words = texts.select(
         "seq",
         F.explode(

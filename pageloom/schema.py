@@ -40,6 +40,28 @@ FETCH = T.StructType(
     ]
 )
 
+# Rows of the page table: lists and headings as JSON text, folders by run and attempt.
+TABLE = T.StructType(
+    [
+        T.StructField("seq", T.LongType()),
+        T.StructField("url", T.StringType()),
+        T.StructField("status_code", T.IntegerType()),
+        T.StructField("title", T.StringType()),
+        T.StructField("meta_description", T.StringType()),
+        T.StructField("meta_keywords", T.StringType()),
+        T.StructField("depth", T.IntegerType()),
+        T.StructField("word_count", T.IntegerType()),
+        T.StructField("paragraphs", T.StringType()),
+        T.StructField("headings", T.StringType()),
+        T.StructField("links", T.StringType()),
+        T.StructField("images", T.StringType()),
+        T.StructField("fetched_at", T.StringType()),
+        T.StructField("error", T.StringType()),
+        T.StructField("run_id", T.StringType()),
+        T.StructField("attempt", T.StringType()),
+    ]
+)
+
 # Fields whose default is null; all others default to "", 0 or an empty collection.
 NULLABLE_FIELDS = ("url", "status_code", "error")
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.pages import page_metrics
+from ..plans.commits import CommitLog, exists, publish_folder
 from ..plans.stages import materialize
 from ..schema import RECORD_FIELDS
 
@@ -60,22 +62,21 @@ def write_crawl_json(records: DataFrame, path: str, run_id: str, parts: int | No
 
     ``cat part-*`` yields ``{run_id, exported_at, page_count, pages: […]}``. Opening,
     records and closing are rows of one range-sorted table, so no task or driver holds
-    more than its share of the records.
+    more than its share of the records. The records are computed once, as stored text:
+    counting, sampling for the sort and the sort read that.
     """
     spark = records.sparkSession
-    size = records.agg(F.count("*").alias("n"), F.min("seq").alias("first")).first()
+    text = F.to_json(F.struct(*RECORD_FIELDS), {"ignoreNullFields": "false"})
+    stored = materialize(
+        records.select(F.col("seq").cast("bigint").alias("seq"), text.alias("value")), "document"
+    )
+    size = stored.agg(F.count("*").alias("n"), F.min("seq").alias("first")).first()
     head = json.dumps(
         {"run_id": run_id, "exported_at": _now().isoformat(), "page_count": size["n"]},
         ensure_ascii=False,
     )
     comma = F.when(F.col("seq") == F.lit(size["first"]), "").otherwise(",")
-    body = records.select(
-        F.lit(1).alias("part"),
-        F.col("seq").cast("bigint").alias("seq"),
-        F.concat(
-            comma, F.to_json(F.struct(*RECORD_FIELDS), {"ignoreNullFields": "false"})
-        ).alias("value"),
-    )
+    body = stored.select(F.lit(1).alias("part"), "seq", F.concat(comma, "value").alias("value"))
     frame = spark.createDataFrame(
         [(0, 0, head[:-1] + ', "pages": ['), (2, 0, "]}")], "part int, seq bigint, value string"
     )
@@ -88,7 +89,8 @@ def write_crawl_json(records: DataFrame, path: str, run_id: str, parts: int | No
 
 
 def csv_rows(records: DataFrame) -> DataFrame:
-    return page_metrics(records).orderBy("seq").select(*CSV_COLUMNS)
+    """The CSV columns in visit order; the sort samples and reads stored counts, not pages."""
+    return materialize(page_metrics(records), "metrics").orderBy("seq").select(*CSV_COLUMNS)
 
 
 def write_csv(records: DataFrame, path: str) -> None:
@@ -108,26 +110,36 @@ def table_rows(records: DataFrame, run_id: str) -> DataFrame:
     """Records as stored in the page table: lists and headings as JSON text."""
     texts = {name: F.to_json(name) for name in _TABLE_JSON}
     return (
-        records.withColumns(texts)
+        records.withColumns(texts | {"seq": F.col("seq").cast("bigint")})
         .select(*_TABLE_COLUMNS)
         .withColumn("run_id", F.lit(run_id))
     )
 
 
 def append_table(
-    records: DataFrame, path: str, run_id: str, replace_run: bool = False
-) -> None:
-    """Append a run to the page table, created if absent and partitioned by run.
-
-    Files are sorted by URL, so their min/max statistics serve look-ups. With
-    ``replace_run`` a repeated run takes the place of its earlier rows.
+    records: DataFrame,
+    path: str,
+    run_id: str,
+    replace_run: bool = False,
+    once: bool = False,
+) -> bool:
+    """Append a run to the page table, created if absent and partitioned by run and attempt.
+
+    The files count from the moment their commit record is there: an attempt that breaks
+    leaves nothing that :func:`~pageloom.sources.records.read_run` reads. Every call adds
+    its rows, unless ``replace_run`` (they take the place of the run's earlier rows, which
+    stay until then) or ``once`` (a committed run is left as it is). Returns whether rows
+    were written. Files are sorted by URL, so their min/max statistics serve look-ups.
     """
-    writer = table_rows(records, run_id).sortWithinPartitions("url").write
-    if replace_run:
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    else:
-        writer = writer.mode("append")
-    writer.partitionBy("run_id").parquet(path)
+    log = CommitLog(records.sparkSession, path)
+    if once and not replace_run and run_id in log.live():
+        return False
+    attempt = uuid.uuid4().hex
+    rows = table_rows(records, run_id).withColumn("attempt", F.lit(attempt))
+    writer = rows.sortWithinPartitions("url").write.mode("append")
+    writer.partitionBy("run_id", "attempt").parquet(path)
+    log.publish(run_id, attempt, replace_run)
+    return True
 
 
 def sitemap_rows(records: DataFrame) -> DataFrame:
@@ -141,9 +153,9 @@ def sitemap_rows(records: DataFrame) -> DataFrame:
 
 
 def write_sitemap(records: DataFrame, path: str) -> None:
-    """XML sitemap; each part file is a sitemap of its own."""
+    """XML sitemap; each part file is a sitemap of its own. The sort reads stored rows."""
     (
-        sitemap_rows(records)
+        materialize(sitemap_rows(records), "sitemap")
         .orderBy("seq")
         .select("loc", "lastmod")
         .write.mode("overwrite")
@@ -161,29 +173,49 @@ def export(
     formats: Iterable[str] = FORMATS,
     run_id: str | None = None,
     one_document: bool = False,
+    replace: bool = False,
 ) -> dict[str, str]:
     """Write the known ``formats`` and return format → path; others are ignored.
 
     The records are computed once and read back by each writer. JSON is written as
     lines with a manifest, or as one document in parts with ``one_document``.
+
+    A run counts once however often it is exported: each format is written to a folder of
+    its own attempt and published in one step (files by moving the finished folder, table
+    rows by a commit record), and a format that is published is left as it is unless
+    ``replace``. So an export that broke can be repeated; it does what is missing.
     """
+    spark = records.sparkSession
     run_id = run_id or _now().strftime(RUN_ID_FORMAT)
     wanted = [f for f in FORMATS if f in set(formats)]
-    if len(wanted) > 1:
-        records = materialize(records, "export")
     folder = folder.rstrip("/")
-    paths = {}
-    if "json" in wanted:
-        paths["json"] = f"{folder}/crawl_{run_id}.json"
-        if one_document:
-            write_crawl_json(records, paths["json"], run_id)
+    paths = {
+        "json": f"{folder}/crawl_{run_id}.json",
+        "csv": f"{folder}/crawl_{run_id}.csv",
+        "sqlite": f"{folder}/pages",
+    }
+    if replace:
+        open_formats = wanted
+    else:
+        done = {f for f in wanted if f != "sqlite" and exists(spark, paths[f])}
+        if "sqlite" in wanted and run_id in CommitLog(spark, paths["sqlite"]).live():
+            done.add("sqlite")
+        open_formats = [f for f in wanted if f not in done]
+    lines = "json" in open_formats and not one_document
+    if len(open_formats) > 1 or lines:
+        records = materialize(records, "export")
+    staged = f"{folder}/_attempts/{uuid.uuid4().hex}"
+    if "json" in open_formats:
+        if lines:
+            write_record_lines(records, f"{staged}/json")
+            write_manifest(records, f"{staged}/manifest", run_id)
+            publish_folder(spark, f"{staged}/manifest", f"{folder}/crawl_{run_id}.manifest")
         else:
-            write_record_lines(records, paths["json"])
-            write_manifest(records, f"{folder}/crawl_{run_id}.manifest", run_id)
-    if "csv" in wanted:
-        paths["csv"] = f"{folder}/crawl_{run_id}.csv"
-        write_csv(records, paths["csv"])
-    if "sqlite" in wanted:
-        paths["sqlite"] = f"{folder}/pages"
-        append_table(records, paths["sqlite"], run_id)
-    return paths
+            write_crawl_json(records, f"{staged}/json", run_id)
+        publish_folder(spark, f"{staged}/json", paths["json"])
+    if "csv" in open_formats:
+        write_csv(records, f"{staged}/csv")
+        publish_folder(spark, f"{staged}/csv", paths["csv"])
+    if "sqlite" in open_formats:
+        append_table(records, paths["sqlite"], run_id, replace_run=replace, once=True)
+    return {f: paths[f] for f in wanted}

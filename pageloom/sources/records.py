@@ -6,8 +6,9 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
+from ..plans.commits import CommitLog
 from ..plans.stages import materialize
-from ..schema import PAGE_RECORD, with_defaults
+from ..schema import PAGE_RECORD, TABLE, with_defaults
 
 # The first line of an export in lines ends so, and this is its last line.
 _OPENING, _CLOSING = '"pages": [', "]}"
@@ -87,12 +88,23 @@ def read_record_lines(spark: SparkSession, path: str) -> DataFrame:
     return _checked(spark.read.schema(schema).json(path))
 
 
+def _committed(spark: SparkSession, path: str, runs: dict[str, list[str]]) -> DataFrame:
+    """Table rows of the given attempts; only their folders are read."""
+    attempts = [attempt for found in runs.values() for attempt in found]
+    if not attempts:
+        return spark.createDataFrame([], TABLE)
+    rows = spark.read.schema(TABLE).parquet(path)
+    return rows.filter(F.col("run_id").isin(list(runs)) & F.col("attempt").isin(attempts))
+
+
 def read_run(spark: SparkSession, path: str, run_id: str) -> DataFrame:
-    """Records of one run from the page table; only that run's files are read.
+    """Records of one run from the page table; only that run's committed files are read.
 
-    The table does not hold the internal/external split, so those lists are empty.
+    The table does not hold the internal/external split, so those lists are empty. A run
+    that was never committed has no rows.
     """
-    stored = spark.read.parquet(path).filter(F.col("run_id") == run_id)
+    attempts = CommitLog(spark, path).live().get(run_id, [])
+    stored = _committed(spark, path, {run_id: attempts}).drop("attempt")
     lists = {
         name: F.from_json(name, PAGE_RECORD[name].dataType)
         for name in ("paragraphs", "headings", "links", "images")
@@ -101,5 +113,6 @@ def read_run(spark: SparkSession, path: str, run_id: str) -> DataFrame:
 
 
 def run_counts(spark: SparkSession, path: str) -> DataFrame:
-    """``run_id, page_count`` of the page table."""
-    return spark.read.parquet(path).groupBy("run_id").agg(F.count("*").alias("page_count"))
+    """``run_id, page_count`` of the committed runs of the page table."""
+    stored = _committed(spark, path, CommitLog(spark, path).live())
+    return stored.groupBy("run_id").agg(F.count("*").alias("page_count"))

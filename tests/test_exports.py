@@ -8,6 +8,7 @@ from pathlib import Path
 import pytest
 
 from pageloom.operators import search
+from pageloom.operators.pages import parse_pages
 from pageloom.plans.stages import with_row_index
 from pageloom.schema import FETCH, PAGE_RECORD, RECORD_FIELDS, with_defaults
 from pageloom.sinks import exports
@@ -116,6 +117,60 @@ def test_table_appends_and_replaces(spark, records, tmp_path):
     assert "PartitionFilters: [isnotnull(run_id" in plan
 
 
+def test_attempts_that_broke_are_not_read(spark, records, tmp_path, monkeypatch):
+    path = str(tmp_path / "pages")
+    counts = lambda: {r["run_id"]: r["page_count"] for r in record_io.run_counts(spark, path).collect()}
+
+    def lost(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(exports.CommitLog, "publish", lost)
+        with pytest.raises(OSError):
+            exports.append_table(records, path, "007")
+    assert counts() == {} and record_io.read_run(spark, path, "007").count() == 0
+    assert exports.append_table(records, path, "007", once=True)
+    assert not exports.append_table(records, path, "007", once=True)
+    assert counts() == {"007": 4}  # a run id stays text
+    with monkeypatch.context() as broken:
+        broken.setattr(exports.CommitLog, "publish", lost)
+        with pytest.raises(OSError):
+            exports.append_table(records, path, "007", replace_run=True)
+    assert counts() == {"007": 4}
+    odd = "a/b=c %"
+    exports.append_table(records.limit(0), path, odd)
+    exports.append_table(records.filter("seq = 1"), path, odd)
+    assert record_io.read_run(spark, path, odd).count() == 1
+
+
+def test_an_export_that_broke_is_repeated(spark, records, tmp_path, monkeypatch):
+    folder = str(tmp_path)
+
+    def lost(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(exports, "write_csv", lost)
+        with pytest.raises(OSError):
+            exports.export(records, folder, run_id="r")
+    assert not (tmp_path / "crawl_r.csv").exists()
+    first = {p.name for p in (tmp_path / "crawl_r.json").iterdir()}
+    paths = exports.export(records, folder, run_id="r")
+    assert exports.export(records, folder, run_id="r") == paths
+    assert {p.name for p in (tmp_path / "crawl_r.json").iterdir()} == first
+    assert record_io.read_run(spark, paths["sqlite"], "r").count() == 4
+    exports.export(records.filter("seq < 2"), folder, run_id="r", replace=True)
+    assert record_io.read_run(spark, paths["sqlite"], "r").count() == 2
+    assert record_io.read_record_lines(spark, paths["json"]).count() == 2
+    assert spark.read.json(str(tmp_path / "crawl_r.manifest")).first()["page_count"] == 2
+
+
+def test_sorted_exports_parse_once(spark, records):
+    rows = exports.csv_rows(parse_pages(spark.createDataFrame([("https://h/", 200, "text/html", "<p>x", "", None, 0)], "url string, status_code int, content_type string, body string, fetched_at string, error string, seq bigint")))
+    plan = rows._jdf.queryExecution().toString()
+    assert "CollectMetrics" not in plan and "regexp" not in plan
+
+
 def test_sitemap(spark, records, tmp_path):
     exports.write_sitemap(records, str(tmp_path / "map"))
     found = []

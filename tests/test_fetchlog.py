@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from pageloom.operators import fetchlog
 from pageloom.schema import FETCH, with_defaults
@@ -39,6 +40,22 @@ def test_collapse_attempts_of_one_hot_url(spark):
     assert (row["attempts_used"], row["body"], row["planned_wait"]) == (1500, "1500", 1499.0)
 
 
+def test_collapse_attempts_moves_one_row_per_url_and_task(spark):
+    rows = [("u", 1, 200, "t", body, None) for body in ("b", "a", "b", None)] + [(None, 1, None, None, None, "e")]
+    df = spark.createDataFrame(rows, ATTEMPT).repartition(4)
+    got = fetchlog.collapse_attempts(df)
+    assert len({r["body"] for r in got.collect() if r["url"] == "u"}) == 1
+    assert sorted(map(str, (r["url"] for r in got.collect()))) == ["None", "u"]
+    again = fetchlog.collapse_attempts(df.repartition(1))
+    assert sorted(map(str, got.collect())) == sorted(map(str, again.collect()))
+    plan = fetchlog.collapse_attempts(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and plan.count("WindowGroupLimit") == 2
+    assert plan.index(", Final") < plan.index("Exchange hashpartitioning(url") < plan.index(", Partial")
+    mapped = df.withColumn("m", F.create_map(F.lit("a"), F.lit(1)))
+    assert fetchlog.collapse_attempts(mapped).count() == 2
+    assert fetchlog.collapse_attempts(df.limit(0)).count() == 0
+
+
 def test_classify(spark):
     rows = [
         ("ok", 200, "text/html; charset=utf-8", "b", "", None),

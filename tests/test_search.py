@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pageloom.functions import text
 from pageloom.operators import search
+from pageloom.operators.pages import parse_pages
 from pageloom.schema import with_defaults
 
 
@@ -92,6 +93,15 @@ def test_batch_search(spark, rows, small, monkeypatch):
     assert len(got) == len(want)
 
 
+def test_batch_search_parses_pages_once(spark):
+    rows = [("https://h/1", 200, "<title>T</title><p>one two two", "", None, 1), ("https://h/2", 200, "<p>two", "", None, 2)]
+    fetched = spark.createDataFrame(rows, "url string, status_code int, body string, fetched_at string, error string, seq bigint")
+    keywords = spark.createDataFrame([("two",)], "keyword string")
+    found = search.keyword_search_batch(parse_pages(fetched), keywords)
+    assert "CollectMetrics" not in found._jdf.queryExecution().toString()
+    assert [(r["seq"], r["score"]) for r in found.orderBy("rank").collect()] == [(1, 2), (2, 1)]
+
+
 def test_batch_search_rejects_phrases(spark, rows):
     keywords = spark.createDataFrame([("two words",)], "keyword string")
     with pytest.raises(Exception, match="not a single word"):
