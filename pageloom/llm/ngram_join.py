@@ -54,6 +54,13 @@ def gram_sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.uint64)
 
 
+def sliced_sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
+    """The sets of :func:`gram_sets`, worked out for a bounded part of the texts at a time."""
+    batch = pa.RecordBatch.from_arrays([texts], ["text"])
+    for _, part in slices([batch], "text", _SLICE):
+        yield from gram_sets(part, n)
+
+
 def set_key(grams: np.ndarray) -> int:
     """A 64-bit name of a set, the same for equal sets; signed, as Spark's longs are."""
     import xxhash
@@ -212,6 +219,7 @@ def _tokens(docs: DataFrame, n: int, percent: int, last: np.ndarray | None) -> D
                     ],
                     ["gram", "key"],
                 )
+        give_back()
 
     return docs.select("text").mapInArrow(emit, "gram long, key long")
 
@@ -333,6 +341,7 @@ def _described(docs: DataFrame, n: int) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array([s for s, _ in sets], pa.int64()), pa.array([k for _, k in sets], pa.int64())],
                 ["doc_id", "uid", "size", "key"],
             )
+        give_back()
 
     return docs.mapInArrow(describe, "doc_id long, uid long, size long, key long")
 
@@ -343,12 +352,12 @@ def _verified(pairs: DataFrame, n: int, percent: int) -> DataFrame:
     def verify(batches):
         overlap = Overlap(percent)
         for batch in batches:
-            left = list(gram_sets(batch.column(2).cast(pa.large_string()), n))
-            right = list(gram_sets(batch.column(3).cast(pa.large_string()), n))
-            good = pa.array([linked(a, b, overlap) for a, b in zip(left, right)], pa.bool_())
+            sets = zip(sliced_sets(batch.column(2), n), sliced_sets(batch.column(3), n))
+            good = pa.array([linked(a, b, overlap) for a, b in sets], pa.bool_())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).filter(good), batch.column(1).filter(good)], ["a", "b"]
             )
+        give_back()
 
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a long, b long")
 
@@ -359,8 +368,8 @@ def _searched(cells: DataFrame, n: int, percent: int) -> DataFrame:
     def search(group: pa.Table) -> pa.Table:
         keys = group["key"].to_pylist()
         comps = group["comp"].to_pylist()
-        texts = group["text"].combine_chunks().cast(pa.large_string())
-        lists = Lists(list(gram_sets(texts, n)), Overlap(percent))
+        texts = (own for chunk in group["text"].chunks for own in sliced_sets(chunk, n))
+        lists = Lists(list(texts), Overlap(percent))
         parent = {c: c for c in comps}
 
         def root(c):
@@ -520,5 +529,6 @@ def _same_key(fetched: DataFrame, n: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1).filter(good), texts.filter(good).cast(pa.string())], ["key", "text"]
             )
+        give_back()
 
     return fetched.select("uid", "key", "text").mapInArrow(check, "key long, text string")
