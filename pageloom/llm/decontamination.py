@@ -18,6 +18,10 @@ from .stages import ship_package
 Q = 8  # characters of a gram; grams are hashed by three doublings
 _BLOCK = 32  # positions whose hits are counted together in the first filter
 _SLOTS = 22  # bits of the table of gram hashes
+# Places of a gram in one pattern above which its hits are counted for every diagonal alike.
+REPEATED = 8
+_HITS = 1 << 21  # pairs of a position and a pattern's place that are counted at once
+_DIAGONALS = 1 << 14  # of one alignment; a wider stretch is aligned in overlapping parts
 _MATCH = "doc_id {id}, item_id {item}, distance long, start long, `end` long, item_chars long"
 
 
@@ -81,29 +85,45 @@ def banded_distance(pattern: np.ndarray, text: np.ndarray, first: int, width: in
     with ``budget + 1`` when no cell is within the budget.
     """
     far = budget + 1
-    step = np.arange(width)
-    at = first + step  # text position of each diagonal before the current row
-    row = np.where((at >= 0) & (at <= len(text)), 0, far).astype(np.int64)
+    small = np.int16 if width + far < 1 << 15 else np.int64
+    step = np.arange(width, dtype=small)
+    row = np.full(width, far, small)
+    # Text position of each diagonal before the current row: from 0 to the text's length.
+    row[max(0, -first) : max(0, len(text) - first + 1)] = 0
     for i, c in enumerate(pattern):
-        at = first + i + step  # text index compared with pattern[i]
-        inside = (at >= 0) & (at < len(text))
-        same = np.zeros(width, bool)
-        same[inside] = text[at[inside]] == c
-        new = row + ~same
-        new[~inside] = far
+        at = first + i  # text index that the first diagonal compares with pattern[i]
+        low = min(width, max(0, -at))
+        high = max(low, min(width, len(text) - at))
+        new = row + small(1)
+        new[low:high] -= text[at + low : at + high] == c
+        new[:low] = far
+        new[high:] = far
         # A pattern character without one in the text comes from the next diagonal; with
         # i + 1 characters read, diagonal d stands at text position first + d + i + 1.
-        new[:-1] = np.minimum(new[:-1], row[1:] + 1)
-        new[(at + 1 < 0) | (at + 1 > len(text))] = far
+        np.minimum(new[:-1], row[1:] + small(1), out=new[:-1])
+        new[: max(0, -at - 1)] = far
+        new[max(0, len(text) - at) :] = far
         # Text characters without one in the pattern: along the row.
-        new = np.minimum.accumulate(new - step) + step
-        row = np.minimum(new, far)
+        new -= step
+        np.minimum.accumulate(new, out=new)
+        new += step
+        row = np.minimum(new, small(far))
         if row.min() > budget:
             return far, -1
     best = int(row.argmin())
     return int(row[best]), first + best + len(pattern)
 
 
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each key once, with the sum of its counts."""
+    if not len(keys):
+        return keys, counts
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    return keys[first], np.add.reduceat(counts, first)
+
+
 class Index:
     """The grams of one block of patterns."""
 
@@ -115,6 +135,8 @@ class Index:
         self.place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else self.pattern
         order = np.argsort(self.hash, kind="stable")
         self.hash, self.pattern, self.place = self.hash[order], self.pattern[order], self.place[order]
+        # Grams that a pattern repeats, as entries (hash, pattern) of their own.
+        self.rare, self.repeated = self._by_repeats()
         self.used = np.zeros(1 << _SLOTS, bool)
         self.used[self.hash >> np.uint32(32 - _SLOTS)] = True
         self.budget = np.array([p.budget for p in found], np.int64)
@@ -134,41 +156,112 @@ class Index:
         out[maybe[self.hash[at] == grams[maybe]]] = True
         return out
 
+    def _by_repeats(self) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, np.ndarray]]:
+        """Entries of grams that a pattern has in few places, and the others once each."""
+        order = np.lexsort((self.pattern, self.hash))
+        grams, pattern, place = self.hash[order], self.pattern[order], self.place[order]
+        new = np.r_[True, (grams[1:] != grams[:-1]) | (pattern[1:] != pattern[:-1])] if len(grams) else np.zeros(0, bool)
+        first = np.flatnonzero(new)
+        many = np.diff(np.r_[first, len(grams)]) > REPEATED
+        keep = ~np.repeat(many, np.diff(np.r_[first, len(grams)]))
+        return (grams[keep], pattern[keep], place[keep]), (grams[first[many]], pattern[first[many]])
+
+    def _counted(self, where: np.ndarray, grams: np.ndarray, offset: int, span: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``(pattern * span + band, hits)`` of rare grams, whole bands, part by part.
+
+        Positions are taken in order, as many at once as give ``_HITS`` hits; bands that
+        later positions cannot reach are given out, the others are carried on.
+        """
+        entries, patterns, places = self.rare
+        low = np.searchsorted(entries, grams, side="left")
+        size = np.searchsorted(entries, grams, side="right") - low
+        where, low, size = where[size > 0], low[size > 0], size[size > 0]
+        length = np.array([len(p.points) for p in self.patterns], np.int64)
+        upto = np.cumsum(size)
+        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        start = 0
+        while start < len(where):
+            base = upto[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(upto, base + _HITS, side="right")))
+            own = size[start:stop]
+            entry = np.repeat(low[start:stop] - (np.cumsum(own) - own), own) + np.arange(own.sum())
+            pattern = patterns[entry]
+            band = (np.repeat(where[start:stop], own) - places[entry] + offset) // (self.budget[pattern] + 1)
+            found, hits = np.unique(pattern * span + band, return_counts=True)
+            keys, counts = _summed(np.r_[keys, found, found - 1], np.r_[counts, hits, hits])
+            start = stop
+            if start < len(where):
+                pattern, band = np.divmod(keys, span)
+                last = (band + 2) * (self.budget[pattern] + 1) - offset + length[pattern]
+                done = last < where[start]
+                yield keys[done], counts[done]
+                keys, counts = keys[~done], counts[~done]
+        yield keys, counts
+
     def regions(self, points: np.ndarray, hit: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """Pattern, first diagonal and count of bands that meet the lemma's bound.
+        """Pattern, first diagonal and number of diagonals of stretches that meet the bound.
 
         Bands are ``2(e+1)`` diagonals wide and begin every ``e+1``, so that any ``e+1``
-        neighbouring diagonals lie within one.
+        neighbouring diagonals lie within one. Bands that overlap are one stretch. A gram
+        that a pattern repeats counts for all bands in reach of its position, which can
+        only let more bands through.
         """
         where = np.flatnonzero(hit)
         grams = _grams(points)[where]
-        low = np.searchsorted(self.hash, grams, side="left")
-        size = np.searchsorted(self.hash, grams, side="right") - low
-        entry = np.repeat(low - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        position = np.repeat(where, size)
-        pattern = self.pattern[entry]
-        step = self.budget[pattern] + 1
-        offset = max((len(p.points) for p in self.patterns), default=0) + 1
-        band = (position - self.place[entry] + offset) // step
+        # So that every band, and the one before it, has a number from 0.
+        offset = max((p.longest for p in self.patterns), default=0) + 2
         span = np.int64(len(points) + 2 * offset + 2)
-        keys = np.concatenate([pattern * span + band, pattern * span + band - 1])
-        keys, counts = np.unique(keys, return_counts=True)
+        known = np.unique(self.repeated[1][np.isin(self.repeated[0], grams)])
+        found, aside = [], []
+        for keys, counts in self._counted(where, grams, offset, span):
+            pattern = keys // span
+            found.append(keys[counts >= self.needed[pattern]])
+            if len(known):
+                own = np.isin(pattern, known)
+                aside.append((keys[own], counts[own]))
+        if len(known):
+            rare, counts = (np.concatenate(x) for x in zip(*aside))
+            for p in known.tolist():
+                step, length = self.budget[p] + 1, len(self.patterns[p].points)
+                mine = where[np.isin(grams, self.repeated[0][self.repeated[1] == p])]
+                bands = np.arange((len(points) + 2 * offset) // step + 1)
+                first = bands * step - offset
+                reached = np.searchsorted(mine, first + 2 * step + length) - np.searchsorted(mine, first)
+                own = rare // span == p
+                reached[rare[own] - p * span] += counts[own]
+                found.append(p * span + bands[reached >= self.needed[p]])
+        keys = np.unique(np.concatenate(found))
+        if not len(keys):
+            return
         pattern, band = np.divmod(keys, span)
-        enough = counts >= self.needed[pattern]
-        for p, b, n in zip(pattern[enough], band[enough], counts[enough]):
-            yield int(p), int(b) * int(self.budget[p] + 1) - offset, int(n)
+        first = np.flatnonzero(np.r_[True, (pattern[1:] != pattern[:-1]) | (band[1:] > band[:-1] + 2)])
+        last = np.r_[first[1:], len(keys)] - 1
+        for p, low, high in zip(pattern[first].tolist(), band[first].tolist(), band[last].tolist()):
+            step = int(self.budget[p]) + 1
+            yield p, low * step - offset, (high - low + 2) * step
 
     def search(self, points: np.ndarray, hit: np.ndarray) -> dict[object, tuple[int, int, int]]:
-        """Best occurrence ``(distance, start, end)`` of every item that occurs."""
+        """Best occurrence ``(distance, start, end)`` of every item that occurs.
+
+        A stretch is aligned in parts that overlap by what the edits may move. Parts that
+        begin behind an exact occurrence of their item cannot better it and are left out.
+        """
         best: dict[object, tuple[int, int, int]] = {}
-        for number, first, _ in self.regions(points, hit):
+        for number, first, width in self.regions(points, hit):
             own = self.patterns[number]
-            width = 2 * (own.budget + 1) + 2 * own.budget
-            low = first - own.budget
-            distance, end = banded_distance(own.points, points, low, width, own.budget)
-            if distance <= own.budget:
-                start = max(0, end - len(own.points))
-                best[own.item] = min(best.get(own.item, (distance, start, end)), (distance, start, end))
+            low, end_of = first - own.budget, first + width + own.budget
+            while True:
+                known = best.get(own.item)
+                if known and known[0] == 0 and known[1] <= max(0, low):
+                    break
+                part = min(end_of - low, _DIAGONALS)
+                distance, end = banded_distance(own.points, points, low, part, own.budget)
+                if distance <= own.budget:
+                    start = max(0, end - len(own.points))
+                    best[own.item] = min(known or (distance, start, end), (distance, start, end))
+                if low + part >= end_of:
+                    break
+                low += part - 2 * (own.budget + 1)
         return best
 
 
@@ -204,7 +297,9 @@ def benchmark_matches(
     or, for items longer than ``window`` characters, of one of its overlapping windows.
     Shared 8-grams are counted in overlapping diagonal bands; bands that reach the q-gram
     lemma's bound are verified by banded alignment. The counting loses no occurrence;
-    documents without a dense stretch of shared grams are left out before it.
+    documents without a dense stretch of shared grams are left out before it. Repetitive
+    texts: hits are counted in parts, overlapping bands are aligned as one, and a gram that
+    an item has in more than ``REPEATED`` places counts for all bands in reach.
 
     The benchmark is the stated query set: it is searched in blocks of ``block_bytes`` of
     its text, each sent to all tasks and run over all rows. Nothing is shuffled.

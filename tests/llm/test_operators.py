@@ -100,6 +100,62 @@ def test_decontamination_finds_edited_items(spark, docs):
     assert all(0 < d <= 8 for d in got.values())
 
 
+def _edits(pattern, text):
+    """Least edits that turn the pattern into a part of the text, by the whole table."""
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(pattern, 1):
+        new = [i]
+        for j, d in enumerate(text, 1):
+            new.append(min(row[j - 1] + (c != d), row[j] + 1, new[-1] + 1))
+        row = new
+    return min(row)
+
+
+def test_decontamination_equals_plain_edit_distance(spark):
+    rng = random.Random(11)
+    items = [(i, "".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(30, 140))).strip()) for i in range(6)]
+    items += [(6, "ab " * 30), (7, "x" * 50), (8, "abc abd " * 12), (9, "ab " * 20 + "c" + "ab " * 20)]
+    texts = [(0, None), (1, ""), (2, "ab " * 90), (3, "ab " * 40 + "d" + "ab " * 50), (4, "x" * 49 + "y" + "x" * 30), (5, "x" * 45)]
+    for k in range(40):
+        inner = list(rng.choice(items)[1])
+        for _ in range(rng.randrange(14)):
+            at = rng.randrange(len(inner))
+            inner[at] = rng.choice(["", "q", inner[at] + "zz"])
+        before = "".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(80)))
+        texts.append((10 + k, before + "".join(inner) + before[::-1]))
+    texts.append(texts[-1])
+    want = []
+    for doc, text in texts:
+        for p in decontamination.patterns(items, 0.08, 512):
+            distance = _edits(p.points.tolist(), list(map(ord, decontamination.normal(text or ""))))
+            if distance <= p.budget:
+                want.append((doc, p.item, distance))
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    for block_bytes in (8 << 20, 200):
+        got = decontamination.benchmark_matches(docs, benchmark, block_bytes=block_bytes).collect()
+        rows = sorted((r.doc_id, r.item_id, r.distance) for r in got)
+        assert (rows if block_bytes > 200 else sorted(set(rows))) == (sorted(want) if block_bytes > 200 else sorted(set(want)))
+    assert len(want) >= 25 and {d for _, _, d in want} > {0, 1, 2}
+
+
+def test_decontamination_of_long_repetitive_texts():
+    """Memory and time are bounded where every band meets the lemma's bound."""
+    import tracemalloc
+
+    items = [(1, "ab " * 170), (2, "abc abd " * 40), (3, "x" * 300 + "y" + "x" * 100)]
+    index = decontamination.Index(decontamination.patterns(items, 0.08, 512))
+    for text, want in (("ab " * 350_000, {1: (0, 0, 509)}), ("x" * 400_000, {3: (1, 0, 401)})):
+        points = np.array(list(map(ord, decontamination.normal(text))), np.uint32)
+        tracemalloc.start()
+        found = index.search(points, index.hits(points))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert {i: (d, max(0, s), e) for i, (d, s, e) in found.items()}.keys() == want.keys()
+        assert [x[0] for x in found.values()] == [x[0] for x in want.values()]
+        assert peak < 200 << 20
+
+
 def test_rollup_batches_count_once(spark, docs, tmp_path):
     rollup = token_counts.TokenRollup(spark, str(tmp_path), {"words-1": token_counts.word_count})
     rows = docs.filter("doc_id < 40")
