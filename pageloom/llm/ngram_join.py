@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from .common import give_back, hashed_words, mixed, rows_of, slices
@@ -22,6 +23,8 @@ BLOCK_GRAMS = 1_000_000
 # Documents looked at, and grams kept, to put frequent grams last in the common order.
 ORDER_SAMPLE = 2_000
 ORDER_GRAMS = 50_000
+# Sets of a block that asks for its grams together; their numbers take two bytes.
+BLOCK_SETS = 1 << 16
 # Grams that one task compares, of the lowest 40 bits of their hash.
 PART_GRAMS = 1_000_000
 # Members of short lists above which they are counted rather than merged by a heap.
@@ -234,24 +237,110 @@ def _frequent(docs: DataFrame, total: int, n: int, percent: int) -> np.ndarray:
     return np.sort(grams.view(np.uint64))
 
 
-def _numbers(value: pa.BinaryScalar, kind) -> np.ndarray:
-    return np.frombuffer(value.as_buffer(), kind)
+def _packed(rows: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Rows of bytes, cut at ``ends``, as one binary array."""
+    width = rows.shape[1]
+    offsets = np.r_[0, ends * width].astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(rows.tobytes())])
+
+
+def _as_bytes(values: np.ndarray, kind: str) -> np.ndarray:
+    return values.astype(kind).view(np.uint8).reshape(len(values), np.dtype(kind).itemsize)
+
+
+def _requests(names: np.ndarray, known: np.ndarray, sets: list[np.ndarray], parts: int, block: int) -> pa.RecordBatch:
+    """What a block of sets asks of each part: five bytes of every gram and its set's number."""
+    grams = np.concatenate(sets)
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    part = (grams >> np.uint64(40)) % np.uint64(parts)
+    order = np.argsort(part, kind="stable")
+    asked, first = np.unique(part[order], return_index=True)
+    ends = np.r_[first[1:], len(order)][: len(asked)]
+    owner = int(block % parts)
+    none = pa.nulls(len(asked), pa.binary())
+    columns = [
+        pa.array(asked.astype(np.int32)),
+        pa.array(np.full(len(asked), block, np.int64)),
+        none,
+        none,
+        _packed(_as_bytes(row[order], "<u2"), ends),
+        _packed(_as_bytes(grams[order], "<u8")[:, :5], ends),
+    ]
+    # The names take the way over one part, so that a block's answers meet them.
+    header = [owner, block, names.astype("<i8").tobytes(), known.astype("<u4").tobytes(), b"", b""]
+    joined = [pa.concat_arrays([c, pa.array([h], c.type)]) for c, h in zip(columns, header)]
+    return pa.RecordBatch.from_arrays(joined, ["part", "block", "names", "known", "sets", "grams"])
+
+
+def _counted(group: pa.Table) -> pa.Table:
+    """A part's answers: of each block's sets, how many grams were asked for more than once."""
+    group = group.combine_chunks()
+    names, known, blocks = group["names"], group["known"], group["block"]
+    asked = [np.frombuffer(x.as_buffer(), "<u2") for x in group["sets"]]
+    row = np.repeat(np.arange(len(asked)), [len(x) for x in asked])
+    sets = np.concatenate(asked).astype(np.int64)
+    narrow = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in group["grams"]])
+    wide = np.zeros((len(narrow) // 5, 8), np.uint8)
+    wide[:, :5] = narrow.reshape(-1, 5)
+    grams = wide.view("<u8").ravel()
+    order = np.argsort(grams)
+    grams = grams[order]
+    equal = grams[1:] == grams[:-1]
+    several = order[np.r_[False, equal] | np.r_[equal, False]] if len(grams) else order
+    found, counts = np.unique((row[several] << 16) | sets[several], return_counts=True)
+    ends = np.searchsorted(found >> 16, np.arange(len(asked)), side="right")
+    answers = pa.table(
+        {
+            "block": blocks,
+            "names": names,
+            "known": known,
+            "sets": _packed(_as_bytes(found & 0xFFFF, "<u2"), ends),
+            "counts": _packed(_as_bytes(counts, "<u4"), ends),
+        }
+    )
+    told = pc.or_(pc.is_valid(answers["names"]), pc.greater(pc.binary_length(answers["sets"]), 0))
+    return answers.filter(told)
+
+
+def _summed(group: pa.Table) -> pa.Table:
+    """``(key, shared)`` of a block's sets, from the answers of all parts."""
+    group = group.combine_chunks()
+    read = lambda column, kind: [
+        np.frombuffer(x.as_buffer(), kind) for x in group[column] if x.is_valid
+    ]
+    keys = np.concatenate(read("names", "<i8"))
+    shared = np.concatenate(read("known", "<u4")).astype(np.int64)
+    sets, counts = np.concatenate(read("sets", "<u2")), np.concatenate(read("counts", "<u4"))
+    shared += np.bincount(sets, counts, len(keys)).astype(np.int64)
+    return pa.table({"key": pa.array(keys), "shared": pa.array(shared)})
 
 
 def _shared_counts(docs: DataFrame, grams: int, n: int, last: np.ndarray) -> DataFrame:
     """``(key, shared)``: at least how many grams of each set any other set may have too.
 
-    The upper bound is what matters: a gram counts when another set has it, when it is one
-    of the frequent ones, or (rarely) when another gram's hash agrees in all bits that are
-    kept. Grams are dealt out by hash; what a slice sends to a part is packed into one row,
-    five bytes a gram. Frequent grams are not sent, so no gram fills a part.
+    The upper bound is what matters: a gram counts when it is in another block or set, when
+    it is one of the frequent ones, or (rarely) when another gram's hash agrees in all bits
+    that are kept; so sets with copies in other blocks always pass. Grams are dealt out by
+    hash; what a block of sets asks of a part is one row, seven bytes a gram, and what the
+    part answers is one row too, six bytes a set that shares a gram. Both are bounded by the
+    grams. Frequent grams are not sent, so no gram fills a part.
     """
     parts = max(1, grams // PART_GRAMS)
     shared = docs.sparkSession.sparkContext.broadcast(last)
 
     def request(batches):
         frequent = shared.value
+        task, blocks = TaskContext.get().partitionId(), 0
         seen: set[int] = set()
+
+        def block():
+            # The same name when a lost task is run again, another one for an equal block.
+            nonlocal blocks
+            blocks += 1
+            own = np.array(keys, np.int64)
+            name = set_key(np.r_[own, task, blocks].view(np.uint64))
+            return _requests(own, np.array(known), sets, parts, name)
+
         for _, texts in slices(batches, "text", 2 * _SLICE):
             keys, sets, known = [], [], []
             for own in gram_sets(texts, n):
@@ -265,70 +354,21 @@ def _shared_counts(docs: DataFrame, grams: int, n: int, last: np.ndarray) -> Dat
                 keys.append(key)
                 known.append(int(common.sum()))
                 sets.append(own[~common] if common.any() else own)
-            if not keys:
-                continue
-            own = np.concatenate(sets)
-            row = np.repeat(np.arange(len(keys)), [len(x) for x in sets])
-            part = (own >> np.uint64(40)) % np.uint64(parts)
-            order = np.argsort(part, kind="stable")
-            ends = np.searchsorted(part[order], np.arange(parts), side="right")
-            packed = own[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-            start, out = 0, []
-            names, known = np.array(keys, "<i8"), np.array(known, "<u4")
-            for number, end in enumerate(ends.tolist()):
-                # Sets without a gram of the part are not named there.
-                some, counts = np.unique(row[order[start:end]], return_counts=True)
-                frequent_ones = np.flatnonzero(known) if number == keys[0] % parts else np.zeros(0, np.int64)
-                out.append(
-                    (number, names[some].tobytes(), counts.astype("<u4").tobytes(), names[frequent_ones].tobytes(),
-                     known[frequent_ones].tobytes(), packed[start:end].tobytes())
-                )
-                start = end
-            out = [x for x in out if x[4] or x[5]]
-            if not out:
-                continue
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in out], pa.int32()), *(pa.array([x[i] for x in out], pa.binary()) for i in range(1, 6))],
-                ["part", "keys", "counts", "owners", "known", "grams"],
-            )
+                if len(keys) == BLOCK_SETS:
+                    yield block()
+                    keys, sets, known = [], [], []
+            if keys:
+                yield block()
         give_back()
 
-    def count(group: pa.Table) -> pa.Table:
-        none = [np.zeros(0, np.int64)]
-        keys, grams, owners, known = list(none), [np.zeros(0, np.uint64)], list(none), list(none)
-        for batch in group.to_batches():
-            for own, counts, owner, number, packed in zip(
-                *(batch.column(batch.schema.get_field_index(c)) for c in ("keys", "counts", "owners", "known", "grams"))
-            ):
-                keys.append(np.repeat(_numbers(own, "<i8"), _numbers(counts, "<u4")))
-                data = _numbers(packed, np.uint8)
-                wide = np.zeros((len(data) // 5, 8), np.uint8)
-                wide[:, :5] = data.reshape(-1, 5)
-                grams.append(wide.view("<u8").ravel())
-                owners.append(_numbers(owner, "<i8"))
-                known.append(_numbers(number, "<u4").astype(np.int64))
-        keys, grams = np.concatenate(keys), np.concatenate(grams)
-        order = np.argsort(grams)
-        keys, grams = keys[order], grams[order]
-        first = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]]) if len(grams) else np.zeros(0, int)
-        if len(first):
-            several = np.minimum.reduceat(keys, first) < np.maximum.reduceat(keys, first)
-            keys = keys[np.repeat(several, np.diff(np.r_[first, len(grams)]))]
-        # Equal sets of several tasks bring the same number of frequent grams.
-        owners, at = np.unique(np.concatenate(owners), return_index=True)
-        own, counts = np.unique(keys, return_counts=True)
-        return pa.table(
-            {
-                "key": pa.array(np.concatenate([own, owners]), pa.int64()),
-                "shared": pa.array(np.concatenate([counts, np.concatenate(known)[at]]), pa.int64()),
-            }
-        )
-
     asked = docs.select("text").mapInArrow(
-        request, "part int, keys binary, counts binary, owners binary, known binary, grams binary"
+        request, "part int, block long, names binary, known binary, sets binary, grams binary"
+    )
+    answers = asked.groupBy("part").applyInArrow(
+        _counted, "block long, names binary, known binary, sets binary, counts binary"
     )
-    found = asked.groupBy("part").applyInArrow(count, "key long, shared long")
-    return found.groupBy("key").agg(F.sum("shared").alias("shared"))
+    found = answers.groupBy("block").applyInArrow(_summed, "key long, shared long")
+    return found.groupBy("key").agg(F.max("shared").alias("shared"))
 
 
 def _described(docs: DataFrame, n: int) -> DataFrame:

@@ -244,9 +244,11 @@ def test_ngram_join_equals_brute_force(docs, monkeypatch):
         if i is not None:
             smallest[root[n]] = min(i, smallest.get(root[n], i))
     expected = Counter((i, len(s), smallest.get(root[n])) for n, (i, s) in enumerate(sets))
-    for grams, blocks in ((1_000_000, 24), (200, 24), (200, 1)):
+    for grams, blocks, part, asked in ((1_000_000, 24, 1_000_000, 65_536), (200, 24, 50, 3), (200, 1, 500, 1)):
         monkeypatch.setattr(ngram_join, "BLOCK_GRAMS", grams)
         monkeypatch.setattr(ngram_join, "MOST_BLOCKS", blocks)
+        monkeypatch.setattr(ngram_join, "PART_GRAMS", part)
+        monkeypatch.setattr(ngram_join, "BLOCK_SETS", asked)
         got = Counter(tuple(r) for r in ngram_join.similar_components(docs).collect())
         assert got == expected
 
