@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -403,13 +404,20 @@ def _verified(pairs: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 def _searched(cells: DataFrame, n: int, percent: int) -> DataFrame:
-    """Links between components inside each cell of rows ``(cell, key, comp, text)``."""
+    """Links between components inside each cell of rows ``(cell, key, comp, text)``.
+
+    Each component is searched against the others; the largest one does not search itself.
+    """
 
     def search(group: pa.Table) -> pa.Table:
         keys = group["key"].to_pylist()
         comps = group["comp"].to_pylist()
-        texts = (own for chunk in group["text"].chunks for own in sliced_sets(chunk, n))
-        lists = Lists(list(texts), Overlap(percent))
+        sets = [own for chunk in group["text"].chunks for own in sliced_sets(chunk, n)]
+        # A link inside the largest component joins nothing: its sets come last and only answer.
+        largest, answering = Counter(comps).most_common(1)[0]
+        order = sorted(range(len(comps)), key=lambda i: comps[i] == largest)
+        keys, comps = [keys[i] for i in order], [comps[i] for i in order]
+        lists = Lists([sets[i] for i in order], Overlap(percent))
         parent = {c: c for c in comps}
 
         def root(c):
@@ -418,7 +426,7 @@ def _searched(cells: DataFrame, n: int, percent: int) -> DataFrame:
             return c
 
         links = []
-        for i in range(len(keys)):
+        for i in range(len(keys) - answering):
             for j in lists.search(i):
                 a, b = root(comps[i]), root(comps[j])
                 if a != b:
