@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import itertools
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
@@ -249,8 +250,13 @@ def _as_bytes(values: np.ndarray, kind: str) -> np.ndarray:
     return values.astype(kind).view(np.uint8).reshape(len(values), np.dtype(kind).itemsize)
 
 
-def _requests(names: np.ndarray, known: np.ndarray, sets: list[np.ndarray], parts: int, block: int) -> pa.RecordBatch:
-    """What a block of sets asks of each part: five bytes of every gram and its set's number."""
+def _requests(
+    names: np.ndarray, known: np.ndarray, sets: list[np.ndarray], comps: np.ndarray | None, parts: int, block: int
+) -> pa.RecordBatch:
+    """What a block of sets asks of each part: five bytes of every gram and its set's number.
+
+    With ``comps``, the component of each gram's set goes along.
+    """
     grams = np.concatenate(sets)
     row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
     part = (grams >> np.uint64(40)) % np.uint64(parts)
@@ -266,15 +272,19 @@ def _requests(names: np.ndarray, known: np.ndarray, sets: list[np.ndarray], part
         none,
         _packed(_as_bytes(row[order], "<u2"), ends),
         _packed(_as_bytes(grams[order], "<u8")[:, :5], ends),
+        none if comps is None else _packed(_as_bytes(comps[row[order]], "<i8"), ends),
     ]
     # The names take the way over one part, so that a block's answers meet them.
-    header = [owner, block, names.astype("<i8").tobytes(), known.astype("<u4").tobytes(), b"", b""]
+    header = [owner, block, names.astype("<i8").tobytes(), known.astype("<u4").tobytes(), b"", b"", None if comps is None else b""]
     joined = [pa.concat_arrays([c, pa.array([h], c.type)]) for c, h in zip(columns, header)]
-    return pa.RecordBatch.from_arrays(joined, ["part", "block", "names", "known", "sets", "grams"])
+    return pa.RecordBatch.from_arrays(joined, ["part", "block", "names", "known", "sets", "grams", "comps"])
 
 
 def _counted(group: pa.Table) -> pa.Table:
-    """A part's answers: of each block's sets, how many grams were asked for more than once."""
+    """A part's answers: of each block's sets, how many grams were asked for more than once.
+
+    Where components are given, by how many grams another component asked for too.
+    """
     group = group.combine_chunks()
     names, known, blocks = group["names"], group["known"], group["block"]
     asked = [np.frombuffer(x.as_buffer(), "<u2") for x in group["sets"]]
@@ -288,6 +298,12 @@ def _counted(group: pa.Table) -> pa.Table:
     grams = grams[order]
     equal = grams[1:] == grams[:-1]
     several = order[np.r_[False, equal] | np.r_[equal, False]] if len(grams) else order
+    comps = [np.frombuffer(x.as_buffer(), "<i8") for x in group["comps"] if x.is_valid]
+    if comps and len(grams):
+        comps = np.concatenate(comps)[order]
+        first = np.flatnonzero(np.r_[True, ~equal])
+        differ = np.minimum.reduceat(comps, first) < np.maximum.reduceat(comps, first)
+        several = order[np.repeat(differ, np.diff(np.r_[first, len(grams)]))]
     found, counts = np.unique((row[several] << 16) | sets[several], return_counts=True)
     ends = np.searchsorted(found >> 16, np.arange(len(asked)), side="right")
     answers = pa.table(
@@ -325,7 +341,10 @@ def _shared_counts(docs: DataFrame, grams: int, n: int, last: np.ndarray) -> Dat
     hash; what a block of sets asks of a part is one row, seven bytes a gram, and what the
     part answers is one row too, six bytes a set that shares a gram. Both are bounded by the
     grams. Frequent grams are not sent, so no gram fills a part.
+
+    If ``docs`` has a column ``comp``, only grams of sets of another component count.
     """
+    named = "comp" in docs.columns
     parts = max(1, grams // PART_GRAMS)
     shared = docs.sparkSession.sparkContext.broadcast(last)
 
@@ -340,11 +359,12 @@ def _shared_counts(docs: DataFrame, grams: int, n: int, last: np.ndarray) -> Dat
             blocks += 1
             own = np.array(keys, np.int64)
             name = set_key(np.r_[own, task, blocks].view(np.uint64))
-            return _requests(own, np.array(known), sets, parts, name)
+            return _requests(own, np.array(known), sets, np.array(comps) if named else None, parts, name)
 
-        for _, texts in slices(batches, "text", 2 * _SLICE):
-            keys, sets, known = [], [], []
-            for own in gram_sets(texts, n):
+        for batch, texts in slices(batches, "text", 2 * _SLICE):
+            keys, sets, known, comps = [], [], [], []
+            others = batch.column(1).to_pylist() if named else itertools.repeat(None)
+            for own, comp in zip(gram_sets(texts, n), others):
                 key = set_key(own)
                 if not len(own) or key in seen:
                     continue
@@ -354,16 +374,17 @@ def _shared_counts(docs: DataFrame, grams: int, n: int, last: np.ndarray) -> Dat
                 common = frequent[at] == own if len(frequent) else np.zeros(len(own), bool)
                 keys.append(key)
                 known.append(int(common.sum()))
+                comps.append(comp)
                 sets.append(own[~common] if common.any() else own)
                 if len(keys) == BLOCK_SETS:
                     yield block()
-                    keys, sets, known = [], [], []
+                    keys, sets, known, comps = [], [], [], []
             if keys:
                 yield block()
         give_back()
 
-    asked = docs.select("text").mapInArrow(
-        request, "part int, block long, names binary, known binary, sets binary, grams binary"
+    asked = docs.select("text", *(["comp"] if named else [])).mapInArrow(
+        request, "part int, block long, names binary, known binary, sets binary, grams binary, comps binary"
     )
     answers = asked.groupBy("part").applyInArrow(
         _counted, "block long, names binary, known binary, sets binary, counts binary"
@@ -464,8 +485,10 @@ def similar_components(
     3. In each remaining list, sets that share much of their prefix with the list's
        smallest set are compared with it alone. That joins large groups of near copies
        with one comparison per member.
-    4. Lists that still hold several components are searched: sets connected by such
-       lists are a cluster, and T-occurrence search by DivideSkip (:class:`Lists`) finds
+    4. A set can only join another component if ``percent`` of its grams occur in sets of
+       other components; these are counted over the sets that are left, and only such sets
+       and the lists with several components of them go on.
+    5. The lists are searched: sets connected by such lists are a cluster, and T-occurrence search by DivideSkip (:class:`Lists`) finds
        the links inside it. Clusters of more than ``BLOCK_GRAMS`` are cut
        in blocks, each two of which are a task; those of very many blocks are searched
        list by list instead, equal lists once.
@@ -518,6 +541,7 @@ def similar_components(
     owned = owned.withColumn("comp", F.coalesce("comp", "key"))
     open_ = owned.groupBy("gram").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
     owned = stored(owned.join(open_.filter("low < high").select("gram"), "gram").distinct().join(sizes.select("key", "size"), "key"), "open")
+    owned = stored(_narrowed(owned, texts, n, percent, last), "narrowed")
     heads = owned.groupBy("gram").agg(F.min("key").alias("b"))
     clusters = components(owned.join(heads, "gram").select(F.col("key").alias("a"), "b"), "clusters")
     clusters = clusters.select(F.col("node").alias("key"), F.col("component").alias("cell"))
@@ -542,6 +566,17 @@ def similar_components(
     )
 
 
+def _narrowed(owned: DataFrame, texts: DataFrame, n: int, percent: int, last: np.ndarray) -> DataFrame:
+    """Rows of ``owned`` whose sets may link with another component, in lists of several."""
+    left = owned.select("key", "comp", "size").distinct()
+    grams = left.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    counts = _shared_counts(texts.join(left, "key").select("text", "comp"), grams, n, last)
+    able = left.join(counts, "key").filter(F.col("shared") >= F.ceil(F.col("size") * percent / 100))
+    owned = owned.join(able.select("key"), "key", "left_semi")
+    lists = owned.groupBy("gram").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    return owned.join(lists.filter("low < high").select("gram"), "gram", "left_semi")
+
+
 def _list_cells(rows: DataFrame) -> DataFrame:
     """Cells of the lists ``(gram, key, comp, size)`` of clusters too large to be one.
 
