@@ -14,7 +14,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 import oracles
 from pageloom.functions import text, urls
@@ -181,12 +181,17 @@ def _tree_crawl(
 
 
 def _page_crawl(spark: SparkSession, folder: str) -> Crawl:
-    """Every captured page is a seed; one step along the links, under robots rules."""
+    """Every captured page is a seed; one step along the links, under robots rules.
+
+    A URL is visited once, with its first capture; further captures are repeated seeds.
+    """
     start = _table(spark, folder, "pages").select("url", F.col("page_id").alias("seq"))
     answers = _host_answers(spark, folder)
+    by_url = Window.partitionBy("url").orderBy("page_id", F.xxhash64("html"))
+    first = _pages(spark, folder).withColumn("_place", F.row_number().over(by_url))
     return crawl(
         start,
-        _fetches(_pages(spark, folder)),
+        _fetches(first.filter(F.col("_place") == 1).drop("_place")),
         answers,
         max_depth=1,
         max_pages=EVERYTHING,
