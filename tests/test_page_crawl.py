@@ -19,3 +19,14 @@ def test_repeated_captures_are_visited_once(spark, tmp_path):
         (1, "https://a.example/y", 0, ""),
         (2, "https://a.example/early", 1, "not captured"),
     ]
+
+
+def test_repeated_captures_are_repeated_seeds(spark, tmp_path):
+    rows = spark.createDataFrame(PAGES, "page_id long, url string, html string")
+    rows.write.parquet(str(tmp_path / "pages.parquet"))
+    stats = registry.queries()["crawl_pages_stats"](spark, str(tmp_path)).first().asDict()
+    # Two repeated seeds, and the link to a page that was visited.
+    assert stats == {
+        "pages_visited": 2, "pages_failed": 1, "pages_skipped_robots": 0,
+        "duplicate_urls_skipped": 3, "elapsed_seconds": 86400.0,
+    }
