@@ -6,11 +6,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import hashed_words, mixed, rows_of
+from .common import give_back, hashed_words, mixed, rows_of, slices
 from .stages import ship_package, stored
 
 # Text of the documents that one task counts and scores together.
 BLOCK_BYTES = 5 << 20
+# Text of a block whose words are hashed at once: that takes some 40 times its size.
+_SLICE = 1 << 20
 # Grams whose counts one task adds up.
 PART_GRAMS = 2_000_000
 # Contexts fall in buckets by the binary logarithm of their frequency.
@@ -24,6 +26,13 @@ _FACTOR = np.uint64(0xD1342543DE82EF95)
 _WIDTH = {0: 8, 1: 8, 2: 6}  # bytes kept of a gram's hash, by order; 0 is the start
 
 
+def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`hashed_words`, worked out for a bounded part of the texts at a time."""
+    batch = pa.RecordBatch.from_arrays([texts], ["text"])
+    found = [hashed_words(part) for _, part in slices([batch], "text", _SLICE)]
+    return tuple(np.concatenate(x) for x in zip(*found)) if found else hashed_words(texts)
+
+
 class Block:
     """Tokens of some documents and the different grams among them."""
 
@@ -31,23 +40,23 @@ class Block:
         table = table.combine_chunks()
         self.ids, self.held_out = table["doc_id"], table["held_out"]
         texts = table["text"].combine_chunks().cast(pa.large_string())
-        words, sizes = hashed_words(texts)
+        words, sizes = _words(texts)
         self.sizes = sizes + 1
         ends = np.cumsum(self.sizes) - 1
-        self.token = np.empty(int(self.sizes.sum()), np.uint64)
-        inner = np.ones(len(self.token), bool)
+        token = np.empty(int(self.sizes.sum()), np.uint64)
+        inner = np.ones(len(token), bool)
         inner[ends] = False
-        self.token[inner], self.token[ends] = words, _END
+        token[inner], token[ends] = words, _END
         self.row = np.repeat(np.arange(len(sizes)), self.sizes)
-        before = np.empty_like(self.token)
-        before[1:] = self.token[:-1]
+        before = np.empty_like(token)
+        before[1:] = token[:-1]
         before[ends - self.sizes + 1] = _START
-        pair = mixed(before * _FACTOR + self.token)
+        pair = mixed(before * _FACTOR + token)
         trained = ~self.held_out.to_numpy(zero_copy_only=False).astype(bool)
         self.trained = trained
         weight = trained[self.row]
         self.grams, self.place, self.counts = {}, {}, {}
-        for order, grams in ((1, self.token), (2, pair)):
+        for order, grams in ((1, token), (2, pair)):
             self.grams[order], self.place[order] = np.unique(grams, return_inverse=True)
             self.counts[order] = np.bincount(self.place[order], weight, len(self.grams[order]))
         self.grams[0], self.counts[0] = np.array([_START]), np.array([trained.sum()])
@@ -65,8 +74,8 @@ class Block:
     def with_totals(self, answers: pa.Table, parts: int) -> None:
         """Read the corpus counts of the block's grams."""
         self.total = {}
-        rows = zip(*(answers[c].to_pylist() for c in ("gram_order", "part", "totals")))
-        by = {(order, part): totals for order, part, totals in rows}
+        names = zip(answers["gram_order"].to_pylist(), answers["part"].to_pylist())
+        by = {name: x.as_buffer() for name, x in zip(names, answers["totals"])}
         for order in (0, 1, 2):
             turn, ends = self.parts(order, parts)
             total = np.zeros(len(turn), np.int64)
@@ -88,7 +97,7 @@ def _own_counts(row: np.ndarray, place: np.ndarray, size: int) -> np.ndarray:
 
 
 def _requests(docs: DataFrame, parts: int) -> DataFrame:
-    def request(table: pa.Table) -> pa.Table:
+    def asked(table: pa.Table) -> pa.Table:
         own, out = Block(table), []
         block = table["block"][0].as_py()
         for order in (0, 1, 2):
@@ -106,6 +115,11 @@ def _requests(docs: DataFrame, parts: int) -> DataFrame:
         names = ["part", "block", "gram_order", "grams", "counts"]
         return pa.table({n: pa.array(c, k) for n, c, k in zip(names, columns, kinds)})
 
+    def request(table: pa.Table) -> pa.Table:
+        out = asked(table)
+        give_back()
+        return out
+
     return docs.groupBy("block").applyInArrow(
         request, "part int, block long, gram_order int, grams binary, counts binary"
     )
@@ -114,23 +128,20 @@ def _requests(docs: DataFrame, parts: int) -> DataFrame:
 def _answers(requests: DataFrame) -> DataFrame:
     """Corpus counts for every request, and with order 1 the words and tokens of the part."""
 
-    def answer(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
+    def answered(table: pa.Table) -> pa.Table:
         out: list[list] = [[] for _ in range(6)]
         part = table["part"][0].as_py()
         for order in (0, 1, 2):
             rows = [i for i, o in enumerate(table["gram_order"].to_pylist()) if o == order]
             if not rows:
                 continue
-            width, grams, counts, sizes = _WIDTH[order], [], [], []
-            for i in rows:
-                packed = np.frombuffer(table["grams"][i].as_py(), np.uint8).reshape(-1, width)
-                wide = np.zeros((len(packed), 8), np.uint8)
-                wide[:, :width] = packed
-                grams.append(wide.view("<u8").ravel())
-                counts.append(np.frombuffer(table["counts"][i].as_py(), "<u4"))
-                sizes.append(len(packed))
-            _, place = np.unique(np.concatenate(grams), return_inverse=True)
+            width, of_order = _WIDTH[order], table.take(rows)
+            narrow = [np.frombuffer(x.as_buffer(), np.uint8) for x in of_order["grams"]]
+            counts = [np.frombuffer(x.as_buffer(), "<u4") for x in of_order["counts"]]
+            sizes = [len(x) for x in counts]
+            wide = np.zeros((sum(sizes), 8), np.uint8)
+            wide[:, :width] = np.concatenate(narrow).reshape(-1, width)
+            _, place = np.unique(wide.view("<u8").ravel(), return_inverse=True)
             sums = np.bincount(place, np.concatenate(counts)).astype("<i8")
             totals = np.split(sums[place], np.cumsum(sizes)[:-1])
             for n, (i, own) in enumerate(zip(rows, totals)):
@@ -142,6 +153,11 @@ def _answers(requests: DataFrame) -> DataFrame:
         names = ["block", "part", "gram_order", "totals", "words", "tokens"]
         return pa.table({n: pa.array(c, k) for n, c, k in zip(names, out, kinds)})
 
+    def answer(table: pa.Table) -> pa.Table:
+        out = answered(table)
+        give_back()
+        return out
+
     return requests.groupBy("part").applyInArrow(
         answer, "block long, part int, gram_order int, totals binary, words long, tokens long"
     )
@@ -150,7 +166,7 @@ def _answers(requests: DataFrame) -> DataFrame:
 def _histogram(docs: DataFrame, answers: DataFrame, parts: int, tokens: int) -> DataFrame:
     """Estimates of the training tokens, each without its own document, in cells."""
 
-    def estimate(table: pa.Table, answered: pa.Table) -> pa.Table:
+    def estimated(table: pa.Table, answered: pa.Table) -> pa.Table:
         own = Block(table)
         own.with_totals(answered, parts)
         some = np.flatnonzero(own.trained[own.row])
@@ -177,6 +193,11 @@ def _histogram(docs: DataFrame, answers: DataFrame, parts: int, tokens: int) ->
             }
         )
 
+    def estimate(table: pa.Table, answered: pa.Table) -> pa.Table:
+        out = estimated(table, answered)
+        give_back()
+        return out
+
     found = docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         estimate, "bucket long, cell long, n long, two double, one double"
     )
@@ -241,7 +262,7 @@ def scores(
     cells = stored(_histogram(plain, asked, parts, tokens), "estimates").collect()
     weights = learn_weights(cells, words)
 
-    def score(table: pa.Table, answered: pa.Table) -> pa.Table:
+    def scored(table: pa.Table, answered: pa.Table) -> pa.Table:
         own = Block(table)
         own.with_totals(answered, parts)
         context = own.of_contexts(own.total)
@@ -262,6 +283,11 @@ def scores(
             }
         )
 
+    def score(table: pa.Table, answered: pa.Table) -> pa.Table:
+        out = scored(table, answered)
+        give_back()
+        return out
+
     return plain.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(
         score,
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
