@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -13,6 +15,8 @@ from .stages import ship_package, stored
 BLOCK_BYTES = 5 << 20
 # Text of a block whose words are hashed at once: that takes some 40 times its size.
 _SLICE = 1 << 20
+# Tokens of a block whose estimates are worked out at once.
+_STEP = 200_000
 # Grams whose counts one task adds up.
 PART_GRAMS = 2_000_000
 # Contexts fall in buckets by the binary logarithm of their frequency.
@@ -86,8 +90,18 @@ class Block:
                 start = end
             self.total[order] = total
 
-    def of_contexts(self, counts: dict[int, np.ndarray]) -> np.ndarray:
-        return np.where(self.context < 0, counts[0][0], counts[1][self.context])
+    def spans(self) -> Iterator[slice]:
+        """The tokens in slices of whole documents, to be worked on one by one."""
+        ends, start = np.cumsum(self.sizes), 0
+        while start < len(self.row):
+            own, last = np.searchsorted(ends, [start, start + _STEP], side="right")
+            stop = int(ends[max(own, last - 1)])
+            yield slice(start, stop)
+            start = stop
+
+    def of_contexts(self, counts: dict[int, np.ndarray], span: slice) -> np.ndarray:
+        context = self.context[span]
+        return np.where(context < 0, counts[0][0], counts[1][context])
 
 
 def _own_counts(row: np.ndarray, place: np.ndarray, size: int) -> np.ndarray:
@@ -163,28 +177,34 @@ def _answers(requests: DataFrame) -> DataFrame:
     )
 
 
+def _estimates(own: Block, span: slice, tokens: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The cell of every training token of a span, its bigram and its unigram estimate."""
+    some = np.flatnonzero(own.trained[own.row[span]])
+    row = own.row[span][some]
+    pair, word = own.place[2][span][some], own.place[1][span][some]
+    context = own.context[span][some]
+    both = own.total[2][pair] - _own_counts(row, pair, len(own.grams[2]))
+    single = own.total[1][word] - _own_counts(row, word, len(own.grams[1]))
+    mine = _own_counts(row, context + 1, len(own.grams[1]) + 1)
+    left = own.of_contexts(own.total, span)[some] - mine
+    two = np.where(left > 0, both / np.maximum(left, 1), 0.0)
+    one = single / np.maximum(tokens - own.sizes[row], 1)
+    bucket = np.minimum(np.log2(np.maximum(left, 0) + 1).astype(np.int64), BUCKETS - 1)
+    level = [
+        np.where(x > 0, np.maximum(np.round(STEPS * np.log2(np.maximum(x, 1e-300))), 1 - _FLOOR), -_FLOOR).astype(np.int64) + _FLOOR
+        for x in (two, one)
+    ]
+    return (bucket * (2 * _FLOOR) + level[0]) * (2 * _FLOOR) + level[1], two, one
+
+
 def _histogram(docs: DataFrame, answers: DataFrame, parts: int, tokens: int) -> DataFrame:
     """Estimates of the training tokens, each without its own document, in cells."""
 
     def estimated(table: pa.Table, answered: pa.Table) -> pa.Table:
         own = Block(table)
         own.with_totals(answered, parts)
-        some = np.flatnonzero(own.trained[own.row])
-        row = own.row[some]
-        pair, word = own.place[2][some], own.place[1][some]
-        context = own.context[some]
-        both = own.total[2][pair] - _own_counts(row, pair, len(own.grams[2]))
-        single = own.total[1][word] - _own_counts(row, word, len(own.grams[1]))
-        mine = _own_counts(row, context + 1, len(own.grams[1]) + 1)
-        left = own.of_contexts(own.total)[some] - mine
-        two = np.where(left > 0, both / np.maximum(left, 1), 0.0)
-        one = single / np.maximum(tokens - own.sizes[row], 1)
-        bucket = np.minimum(np.log2(np.maximum(left, 0) + 1).astype(np.int64), BUCKETS - 1)
-        level = [
-            np.where(x > 0, np.maximum(np.round(STEPS * np.log2(np.maximum(x, 1e-300))), 1 - _FLOOR), -_FLOOR).astype(np.int64) + _FLOOR
-            for x in (two, one)
-        ]
-        cell = (bucket * (2 * _FLOOR) + level[0]) * (2 * _FLOOR) + level[1]
+        found = [_estimates(own, span, tokens) for span in own.spans()]
+        cell, two, one = (np.concatenate(x) for x in zip(*found))
         cells, back, n = np.unique(cell, return_inverse=True, return_counts=True)
         return pa.table(
             {
@@ -265,13 +285,14 @@ def scores(
     def scored(table: pa.Table, answered: pa.Table) -> pa.Table:
         own = Block(table)
         own.with_totals(answered, parts)
-        context = own.of_contexts(own.total)
         single = own.total[1][own.place[1]]
-        two = np.where(context > 0, own.total[2][own.place[2]] / np.maximum(context, 1), 0.0)
-        bucket = np.minimum(np.log2(context + 1).astype(np.int64), BUCKETS - 1)
-        share = weights[bucket]
-        mixture = share[:, 0] * two + share[:, 1] * single / max(tokens, 1) + share[:, 2] / (words + 1)
-        base = np.log10((single + 0.1) / (tokens + 0.1 * (words + 1)))
+        base, mixture = np.empty(len(single)), np.empty(len(single))
+        for span in own.spans():
+            context, one = own.of_contexts(own.total, span), single[span]
+            two = np.where(context > 0, own.total[2][own.place[2][span]] / np.maximum(context, 1), 0.0)
+            share = weights[np.minimum(np.log2(context + 1).astype(np.int64), BUCKETS - 1)]
+            mixture[span] = share[:, 0] * two + share[:, 1] * one / max(tokens, 1) + share[:, 2] / (words + 1)
+            base[span] = np.log10((one + 0.1) / (tokens + 0.1 * (words + 1)))
         n = len(own.sizes)
         return pa.table(
             {

@@ -5,6 +5,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
+from pageloom.llm import lm_scoring
 from pageloom.llm.common import hashed_words
 from pageloom.llm.lm_scoring import Block
 
@@ -31,3 +32,12 @@ def test_block_memory_follows_its_tokens():
     ends = np.cumsum(block.sizes) - 1
     inner = np.delete(block.grams[1][block.place[1]], ends)
     assert (inner == hashes).all()
+
+
+def test_spans_are_whole_documents(monkeypatch):
+    monkeypatch.setattr(lm_scoring, "_STEP", 10)
+    texts = ["a " * 4, "", "b " * 30, "c " * 4, "d " * 4, "e"]
+    table = pa.table({"doc_id": range(6), "held_out": [False] * 6, "text": texts})
+    block = Block(table)
+    spans = [(s.start, s.stop) for s in block.spans()]
+    assert spans == [(0, 6), (6, 37), (37, 47), (47, 49)]
