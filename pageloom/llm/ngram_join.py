@@ -30,7 +30,13 @@ BLOCK_SETS = 1 << 16
 # Grams that one task compares, of the lowest 40 bits of their hash.
 PART_GRAMS = 1_000_000
 # Members of short lists above which they are counted rather than merged by a heap.
-COUNTED = 2_000
+COUNTED = 100
+# Members of lists that are gathered to be counted at once.
+GATHERED = 4_000_000
+# Members that are counted in the time of one binary search.
+LOOKED_UP = 30
+# Bits of a bitmap (Spark's size), bits for each member marked in them, and most bitmaps.
+MAP_BITS, MARKS, MOST_MAPS = 1 << 15, 16, 2_048
 # Blocks of a cluster, each two of which are searched together, before it is searched by list.
 MOST_BLOCKS = 24
 _SEED = np.uint64(0xA24BAED4963EE407)
@@ -105,31 +111,50 @@ class Lists:
     """Inverted lists of some sets, searched for sets with enough grams in common."""
 
     def __init__(self, sets: list[np.ndarray], overlap: Overlap, weight: float = 0.02):
-        self.sets, self.overlap, self.weight = sets, overlap, weight
-        sizes = [len(s) for s in sets]
-        owner = np.repeat(np.arange(len(sets)), sizes)
+        self.overlap, self.weight = overlap, weight
+        self.sizes = np.array([len(s) for s in sets], np.int64)
+        self.offsets = np.r_[0, np.cumsum(self.sizes)]
+        owner = np.repeat(np.arange(len(sets)), self.sizes)
         grams = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
         order = np.lexsort((owner, grams))
         grams, self.owner = grams[order], owner[order]
-        first = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]]) if len(grams) else np.zeros(0, int)
-        ends = np.r_[first[1:], len(grams)] if len(grams) else first
-        # A list of one set holds no partner.
-        several = ends - first > 1
-        self.grams, self.first, self.ends = grams[first][several], first[several], ends[several]
-
-    def _merged(self, short: list[np.ndarray], bound: int) -> list[tuple[int, int]]:
-        """Numbers in at least ``bound`` of the lists, with how many hold them.
+        # Where each gram of each set stands among the members, which list that is, and its end.
+        self.place = np.empty(len(order), np.int64)
+        self.place[order] = np.arange(len(order))
+        first = np.r_[True, grams[1:] != grams[:-1]][: len(grams)]
+        self.list = np.cumsum(first) - 1
+        self.ends = np.r_[np.flatnonzero(first)[1:], len(grams)]
+        # Sorted, as the members are.
+        self.codes = self.list * len(sets) + self.owner
+
+    def _counts(self, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """How many of the lists hold each set; a bounded part of the members at a time."""
+        counts = np.zeros(len(self.sizes), np.int64)
+        ends = np.cumsum(sizes)
+        start = 0
+        while start < len(sizes):
+            base = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, base + GATHERED, side="right")))
+            own = sizes[start:stop]
+            before = ends[start:stop] - own - base
+            at = np.repeat(first[start:stop] - before, own) + np.arange(own.sum())
+            counts += np.bincount(self.owner[at], minlength=len(counts))
+            start = stop
+        return counts
+
+    def _merged(self, first: np.ndarray, sizes: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sets in at least ``bound`` of the lists, and how many hold them.
 
         A heap that skips: after ``n`` equal heads short of the bound, further lists are
         moved on by binary search to the next number that can still reach it. Where the
         lists are long altogether, their members are counted in an array instead.
         """
-        if sum(map(len, short)) > COUNTED:
-            counts = np.bincount(np.concatenate(short))
+        if sizes.sum() > COUNTED:
+            counts = self._counts(first, sizes)
             rows = np.flatnonzero(counts >= bound)
-            return list(zip(rows.tolist(), counts[rows].tolist()))
-        lists = [x.tolist() for x in short]
-        heads = [(x[0], 0, n) for n, x in enumerate(lists) if x]
+            return rows, counts[rows]
+        lists = [self.owner[a : a + n].tolist() for a, n in zip(first.tolist(), sizes.tolist())]
+        heads = [(x[0], 0, n) for n, x in enumerate(lists)]
         heapq.heapify(heads)
         found = []
         while len(heads) >= bound:
@@ -149,42 +174,42 @@ class Lists:
                 i = bisect_left(lists[n], target, i)
                 if i < len(lists[n]):
                     heapq.heappush(heads, (lists[n][i], i, n))
-        return found
+        found = np.array(found, np.int64).reshape(-1, 2)
+        return found[:, 0], found[:, 1]
 
     def search(self, query: int) -> list[int]:
         """Later sets that reach the required overlap with set ``query`` (DivideSkip).
 
         With threshold ``T``, the longest lists are set aside, ``T`` of them less one at
         most. The short ones are merged; sets found often enough there are then looked up
-        in the long lists by binary search.
+        in the long lists by binary search, all at once, or these are counted, if they have
+        few members for the searches.
         """
-        own = self.sets[query]
-        least = self.overlap.least(len(own))
-        if not len(own) or len(self.grams) < least:
-            return []
-        at = np.searchsorted(self.grams, own)
-        at[at == len(self.grams)] = 0
-        at = at[self.grams[at] == own]
-        if len(at) < least:
-            return []
+        size = int(self.sizes[query])
+        least = self.overlap.least(size)
+        at = self.place[self.offsets[query] : self.offsets[query + 1]]
         # Only sets after the query, so that each pair is met once.
-        lists = [self.owner[a:b] for a, b in zip(self.first[at].tolist(), self.ends[at].tolist())]
-        lists = [x[np.searchsorted(x, query, side="right") :] for x in lists]
-        lists.sort(key=len)
-        longest = len(lists[-1])
-        aside = min(least - 1, int(least / (self.weight * max(1, longest.bit_length()) + 1)))
-        short, long = lists[: len(lists) - aside], lists[len(lists) - aside :]
-        found = []
-        for other, count in self._merged(short, least - aside):
-            size = len(self.sets[other])
-            needed = self.overlap.needed(len(own), size)
-            if min(len(own), size) >= needed and count + len(long) >= needed:
-                for x in long:
-                    i = x.searchsorted(other)
-                    count += int(i < len(x) and x[i] == other)
-                if count >= needed:
-                    found.append(other)
-        return found
+        sizes = self.ends[self.list[at]] - at - 1
+        at, sizes = at[sizes > 0], sizes[sizes > 0]
+        if not size or len(at) < least:
+            return []
+        order = np.argsort(sizes)
+        at, sizes = at[order], sizes[order]
+        aside = min(least - 1, int(least / (self.weight * int(sizes[-1]).bit_length() + 1)))
+        short = len(at) - aside
+        others, counts = self._merged(at[:short] + 1, sizes[:short], least - aside)
+        needed = self.overlap.needed(size, self.sizes[others])
+        able = (np.minimum(size, self.sizes[others]) >= needed) & (counts + aside >= needed)
+        others, counts, needed = others[able], counts[able], needed[able]
+        if aside and len(others):
+            if sizes[short:].sum() <= LOOKED_UP * aside * len(others):
+                counts = counts + self._counts(at[short:] + 1, sizes[short:])[others]
+            else:
+                wanted = (self.list[at[short:]][:, None] * len(self.sizes) + others).ravel()
+                met = np.searchsorted(self.codes, wanted)
+                met[met == len(self.codes)] = 0
+                counts = counts + (self.codes[met] == wanted).reshape(aside, -1).sum(axis=0)
+        return others[counts >= needed].tolist()
 
 
 def _tokens(docs: DataFrame, n: int, percent: int, last: np.ndarray | None) -> DataFrame:
@@ -516,7 +541,7 @@ def similar_components(
     least = F.ceil(F.col("size") * percent / 100)
     members = _shared_counts(plain, grams, n, last).join(sizes, "key").filter(F.col("shared") >= least)
     members = stored(members.select("uid", "key"), "members")
-    fetched = plain.select(uid.alias("uid"), "text").join(members, "uid")
+    fetched = _likely(plain.select(uid.alias("uid"), "text"), members).join(members, "uid")
     texts = stored(_same_key(fetched, n).dropDuplicates(["key"]), "candidates")
 
     # Grams of several sets' prefixes, and who has them.
@@ -566,6 +591,23 @@ def similar_components(
     )
 
 
+def _likely(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """Rows whose ``uid`` may be among the members', so that the join moves few other texts.
+
+    One bit for each hash, ``MARKS`` a member, in bitmaps of 4 kB that all tasks hold: 8 MB
+    at most, beyond which more rows get through.
+    """
+    maps = max(1, min(MOST_MAPS, -(-MARKS * members.count() // MAP_BITS)))
+    mark = F.pmod(F.xxhash64("uid"), F.lit(maps * MAP_BITS))
+    place = F.pmod(mark, F.lit(MAP_BITS))
+    number = F.floor(mark / MAP_BITS)
+    bitmaps = members.groupBy(number.alias("number")).agg(F.bitmap_construct_agg(place).alias("bits"))
+    byte = F.substring("bits", (F.floor(F.col("place") / 8) + 1).cast("int"), F.lit(1))
+    marked = rows.withColumns({"number": number, "place": place}).join(F.broadcast(bitmaps), "number")
+    bit = F.conv(F.hex(byte), 16, 10).cast("int")
+    return marked.filter(F.getbit(bit, (F.col("place") % 8).cast("int")) == 1).select("uid", "text")
+
+
 def _narrowed(owned: DataFrame, texts: DataFrame, n: int, percent: int, last: np.ndarray) -> DataFrame:
     """Rows of ``owned`` whose sets may link with another component, in lists of several."""
     left = owned.select("key", "comp", "size").distinct()

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -280,6 +281,65 @@ def test_divide_skip_equals_counting():
         ngram_join.COUNTED = old
 
 
+def test_search_of_near_copies_takes_few_steps(monkeypatch):
+    # A group of near copies: found sets were looked up list by list, each by a call of its own.
+    rng = np.random.default_rng(2)
+    base = np.arange(140)
+    sets = [np.r_[base[rng.permutation(140)[:130]], rng.integers(10**6, 10**9, 12)] for _ in range(300)]
+    sets = [np.unique(s).astype(np.uint64) for s in sets]
+    overlap = ngram_join.Overlap(75)
+    calls = []
+
+    def profile(frame, event, arg):
+        if event == "c_call" and arg.__name__ == "searchsorted":
+            calls.append(1)
+
+    lists = ngram_join.Lists(sets, overlap)
+    for gathered, looked_up in ((4_000_000, 30), (1, 10**9), (50, 0)):
+        monkeypatch.setattr(ngram_join, "GATHERED", gathered, raising=False)
+        monkeypatch.setattr(ngram_join, "LOOKED_UP", looked_up, raising=False)
+        for i in (0, 7, 298, 299):
+            expected = [j for j in range(i + 1, 300) if ngram_join.linked(sets[i], sets[j], overlap)]
+            calls.clear()
+            sys.setprofile(profile)
+            try:
+                found = lists.search(i)
+            finally:
+                sys.setprofile(None)
+            assert found == expected
+            assert len(calls) < 200
+
+
+def test_only_texts_of_likely_members_go_on(spark):
+    rows = spark.range(-3000, 3000).select(F.col("id").alias("uid"), F.col("id").cast("string").alias("text"))
+    for step in (1000, 7):
+        members = rows.filter(F.col("uid") % step == 0).select("uid", F.lit(1).alias("key"))
+        wanted = {r.uid for r in members.collect()}
+        got = [(r.uid, r.text) for r in ngram_join._likely(rows, members).collect()]
+        assert wanted <= {u for u, _ in got} and all(t == str(u) for u, t in got)
+        assert len(got) == len(set(got)) < len(wanted) + 600
+    assert ngram_join._likely(rows, members.limit(0)).count() == 0
+
+
+def test_stars():
+    a, b = np.array([5, 4, 9, -2, 9, 3]), np.array([4, 1, 8, 7, 8, 3])
+    assert sorted(zip(*(x.tolist() for x in graph.stars(a, b)))) == [(4, 1), (5, 1), (7, -2), (9, 8)]
+
+
+def test_links_that_one_task_reads_need_no_round(spark, monkeypatch):
+    names = []
+    kept = graph.stored
+    monkeypatch.setattr(graph, "stored", lambda df, name: (names.append(name), kept(df, name))[1])
+    links = spark.createDataFrame([(i + 1, i) for i in range(30)], "a long, b long").repartition(4)
+    got = {r.node: r.component for r in graph.components(links, "test").collect()}
+    assert got == {i: 0 for i in range(31)}
+    assert "test-0" not in names
+    # Chunks of one link: rounds are needed.
+    monkeypatch.setattr(graph, "CHUNK", 1, raising=False)
+    got = {r.node: r.component for r in graph.components(links, "test").collect()}
+    assert got == {i: 0 for i in range(31)}
+
+
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(30) if i != 14], "a long, b long")
     got = {r.node: r.component for r in graph.components(links, "test").collect()}
