@@ -23,6 +23,7 @@ from pageloom.llm import (
     packing,
     pii,
     quality,
+    queries,
     suffix_dedup,
     suffix_sort,
     token_counts,
@@ -363,6 +364,26 @@ def test_repeats_equal_brute_force(docs, monkeypatch, cell_rows):
     assert Counter(tuple(r) for r in suffix_dedup.remove_repeats(docs, length=length).collect()) == expected
 
 
+def test_repeats_leave_their_texts_readable(spark, docs, tmp_path):
+    """One row per row, copies among them; the bytes left are those that are digested."""
+    rows = suffix_dedup.remove_repeats(docs, length=100, with_text=True).collect()
+    plain = suffix_dedup.remove_repeats(docs, length=100).collect()
+    assert Counter(tuple(r)[:-1] for r in rows) == Counter(tuple(r) for r in plain)
+    assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in rows)
+    assert all(len(r.kept) == r.n_bytes - r.n_removed for r in rows)
+    # The query: a passage of 400 bytes goes, a shorter one stays, a parted é shows as U+FFFD.
+    rng = random.Random(8)
+    long, short = _prose(rng, 120), _prose(rng, 60)
+    assert len(long) >= 400 > len(short) + 4
+    a, b, c, d = (_prose(rng, 50) for _ in range(4))
+    texts = [f"1{a}|{long}é{b}", f"2{c}|{long}è{d}", f"3{a}#{short}#{d}", f"4{c}%{short}%{b}", c * 3, c * 3, None, ""]
+    schema = "doc_id long, text string"
+    spark.createDataFrame(list(enumerate(texts)), schema).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in queries.op8_repeated_bytes(spark, str(tmp_path)).collect()}
+    assert [got[i].text for i in range(8)] == [f"1{a}\ufffd{b}", f"2{c}\ufffd{d}", *texts[2:4], "", "", "", ""]
+    assert [got[i].n_removed for i in range(8)] == [len(long) + 2] * 2 + [0, 0, len(c) * 3, len(c) * 3, 0, 0]
+
+
 def test_deep_shallow_sort_orders_suffixes():
     data = np.frombuffer(b"abcabcabd" * 40, np.uint8)
     starts = np.arange(200)
